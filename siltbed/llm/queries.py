@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, sharding
+from . import exact_dedup, jpeg, langid, mixing, sentencepiece_fst, sharding
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,23 +18,39 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Mix(documents(spark, sf_dir)).taken()
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.crc32(docs["doc_id"].cast("string").cast("binary")) % 4 == 2
+    filters = langid.learn(docs, ~F.coalesce(held_out, F.lit(False)))
+    return langid.identify(docs, filters, keep=[F.coalesce(held_out, F.lit(False)).alias("held_out")])
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
-def op7_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
+def op6_sentencepiece(spark: SparkSession, sf_dir: str, model: str = sentencepiece_fst.DEFAULT_MODEL) -> DataFrame:
+    return sentencepiece_fst.encode_documents(documents(spark, sf_dir), sentencepiece_fst.read_model(model))
+
 
+def op7_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(documents(spark, sf_dir), map_path=sharding.new_map_path(spark))
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "vslot"
     )
 
 
+def op9_jpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jpeg.media_table(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op3_language_id": op3_language_id,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_virtual_slots": op7_virtual_slots,
+    "op9_jpeg_media": op9_jpeg_media,
 }
 
 ORACLE_SQL: dict[str, str] = {
