@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jpeg, langid, mixing, sentencepiece_fst, sharding
+from . import exact_dedup, jpeg, langid, mixing, sentencepiece_fst, sharding, window_dedup
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, filters, keep=[F.coalesce(held_out, F.lit(False)).alias("held_out")])
 
 
+def op4_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_dedup.remove_repeats(documents(spark, sf_dir))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
@@ -47,6 +51,7 @@ def op9_jpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op3_language_id": op3_language_id,
+    "op4_window_dedup": op4_window_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_virtual_slots": op7_virtual_slots,
