@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jpeg, langid, mixing, sentencepiece_fst, sharding, window_dedup
+from . import exact_dedup, jpeg, langid, mixing, sentencepiece_fst, sharding, suffix_dedup, window_dedup
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +44,10 @@ def op7_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir))
+
+
 def op9_jpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jpeg.media_table(documents(spark, sf_dir))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_virtual_slots": op7_virtual_slots,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_jpeg_media": op9_jpeg_media,
 }
 
