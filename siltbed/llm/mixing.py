@@ -117,7 +117,7 @@ class Mix:
         rows = sized.join(right, sized["source"].eqNullSafe(right["_s"])).drop("_s")
 
         # Streams: hashed buckets of each source, then the id inside a bucket.
-        buckets = max(16, -(-n_rows // 20_000))
+        buckets = max(512, -(-n_rows // 20_000))
         rows = rows.withColumn("_b", F.pmod(F.xxhash64("_id", F.lit(seed)), F.lit(buckets)))
         fill = rows.groupBy("sid", "_b").agg(F.sum("size").alias("_fill"))
         ahead = Window.partitionBy("sid").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -149,7 +149,10 @@ class Mix:
         s = plan.where("_slots > 0").withColumn("_hi", F.explode(F.sequence(F.lit(0), F.floor(last / mib))))
         top = F.least(kib - 1, F.floor((last - F.col("_hi") * mib) / kib))
         s = s.withColumn("_mid", F.explode(F.sequence(F.lit(0), top.cast("long"))))
-        s = s.repartition("sid", "_hi", "_mid")
+        # A fixed number of partitions: the few rows here become 1,024 each, which adaptive
+        # coalescing cannot foresee.
+        words = self.sources.agg(F.sum("target")).first()[0] or 0
+        s = s.repartition(max(8, min(100_000, int(words / self.block / 50_000))), "sid", "_hi", "_mid")
         base = F.col("_hi") * mib + F.col("_mid") * kib
         s = s.withColumn("_lo", F.explode(F.sequence(F.lit(0), F.least(kib - 1, last - base).cast("long"))))
         s = s.withColumn("_j", base + F.col("_lo"))
@@ -182,13 +185,14 @@ class Mix:
 
     def taken_pieces(self) -> DataFrame:
         """Pieces joined with the slots that use them: adds pass, shard, position, words [lo, hi) taken."""
-        both = self.pieces().join(self.slots, ["sid", "block"])
+        # Slots grow with the input, so they are never broadcast.
+        both = self.pieces().join(self.slots.hint("merge"), ["sid", "block"])
         return both.withColumn("hi", F.least("hi", "take")).where("hi > lo").drop("take")
 
     def taken(self, id_col: str = "doc_id") -> DataFrame:
         """One row per input row: id, size, source_size, target, taken."""
         used = self.taken_pieces().groupBy("sid", "start").agg(F.sum(F.col("hi") - F.col("lo")).alias("_t"))
-        full = self.rows.where("size > 0").join(used, ["sid", "start"], "left")
+        full = self.rows.where("size > 0").join(used.hint("merge"), ["sid", "start"], "left")
         none = self.rows.where("size = 0").withColumn("_t", F.lit(0).cast("long"))
         return full.unionByName(none).select(
             F.col("_id").alias(id_col), "size", "source_size", "target", F.coalesce("_t", F.lit(0)).cast("long").alias("taken")
@@ -215,5 +219,5 @@ def mixed_blocks(mix: Mix, docs: DataFrame, id_col: str = "doc_id", text_col: st
         F.first("source").alias("source"),
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("lo", "_w"))), lambda p: p["_w"])).alias("_w"),
     )
-    out = mix.slots.join(blocks, ["sid", "block"])
+    out = mix.slots.hint("merge").join(blocks, ["sid", "block"])
     return out.select("shard", "position", "source", F.array_join(F.slice("_w", F.lit(1), F.col("take").cast("int")), " ").alias("text"))
