@@ -77,14 +77,14 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     )
 
 
-def blocks(batches: Iterable[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[tuple[int, pa.RecordBatch]]:
+def blocks(batches: Iterable[pa.RecordBatch], limit: int = BLOCK_BYTES, max_rows: int = MAX_BLOCK_ROWS) -> Iterator[tuple[int, pa.RecordBatch]]:
     """(block number, rows): the input in blocks of about ``limit`` bytes of text."""
     part, k = TaskContext.get().partitionId(), 0
     for batch in batches:
         sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_pylist()
         for a, b in chunks(sizes, limit):
-            for c in range(a, b, MAX_BLOCK_ROWS):
-                yield part << 32 | k, batch.slice(c, min(b, c + MAX_BLOCK_ROWS) - c)
+            for c in range(a, b, max_rows):
+                yield part << 32 | k, batch.slice(c, min(b, c + max_rows) - c)
                 k += 1
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jpeg, langid, mixing, sentencepiece_fst, sharding, suffix_dedup, window_dedup
+from . import exact_dedup, jaccard_join, jpeg, langid, mixing, sentencepiece_fst, sharding, suffix_dedup, window_dedup
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +52,10 @@ def op9_jpeg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jpeg.media_table(documents(spark, sf_dir))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op3_language_id": op3_language_id,
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_virtual_slots": op7_virtual_slots,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_jpeg_media": op9_jpeg_media,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
