@@ -17,7 +17,7 @@ infinity if merging would not leave the two apart.  A piece sequence is what the
 merges give exactly if each adjacent pair is, so exactly one path has finite
 weight.  A pair is judged from the machine of merges alone: undo the later
 merge on either side of the border, step by step, and see whether a merge across
-the border would have come first.
+the border would have come first.  So the shortest path is found depth first.
 
 Characters that never meet inside a piece cannot be joined, so inputs fall into
 independent segments; segments and pairs are memoised in bounded tables.
@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,24 +46,29 @@ INF = float("inf")
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Bounds of the memo tables, in entries.
-MAX_SEGMENTS, MAX_PAIRS = 300_000, 500_000
+MAX_SEGMENTS, MAX_PAIRS = 150_000, 250_000
 #: Longer segments are encoded without being remembered.
 MEMO_CHARS = 48
 
 
 class _Memo(dict):
-    """A bounded memo: emptied when full, so memory stays bounded and results stay equal."""
+    """A bounded memo of two generations: when the young one is full it becomes the old one, whose entries
+    come back when they are used again."""
 
     def __init__(self, make, limit: int, keep=lambda key: True):
         super().__init__()
-        self.make, self.limit, self.keep = make, limit, keep
+        self.make, self.limit, self.keep, self.old = make, limit, keep, {}
 
     def __missing__(self, key):
-        value = self.make(key)
-        if self.keep(key):
-            if len(self) >= self.limit:
-                self.clear()
-            self[key] = value
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+            if not self.keep(key):
+                return value
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
@@ -93,11 +99,14 @@ class Transducer:
         least = min((s for s, t in zip(self.scores, self.types, strict=True) if t == NORMAL), default=0.0)
         self.unk_weight = 10.0 - least
 
+        self.splits = [self._split(i) for i in range(len(self.pieces))] if self.kind == BPE else []
         # The piece trie: per state the outgoing arcs, and the id a final state emits.
         self.arcs: list[dict[str, int]] = [{}]
         self.final: list[int] = [-1]
         self.joined: set[str] = set()
         for piece, i in self.ids.items():
+            if self.kind == BPE and len(piece) > 1 and self.splits[i] is None:
+                continue  # no merges give it
             state = 0
             for c in piece:
                 nxt = self.arcs[state].get(c)
@@ -109,6 +118,17 @@ class Transducer:
                 state = nxt
             self.final[state] = i
             self.joined.update(a + b for a, b in zip(piece, piece[1:], strict=False))
+        # The longest piece that starts each piece and is shorter.
+        self.length = [len(p) for p in self.pieces]
+        self.shorter = [-1] * len(self.pieces)
+        for piece, i in self.ids.items():
+            state = 0
+            for c in piece[:-1]:
+                state = self.arcs[state].get(c, 0)
+                if not state:
+                    break
+                if self.final[state] >= 0:
+                    self.shorter[i] = self.final[state]
         known = {c for p in self.ids for c in p}
         # Marks start a segment if no piece continues from another character into one.
         self.cuts = not any(b == MARK and a != MARK for a, b in self.joined)
@@ -117,7 +137,6 @@ class Transducer:
             self.segment = re.compile(f"{MARK}*[{inner}]+|{MARK}+|[^{inner}{MARK}]")
         else:
             self.segment = re.compile(f"[{inner}{MARK}]+|[^{inner}{MARK}]")
-        self.splits = _Memo(self._split, 1 << 20)
         self.fits = _Memo(self._fits, MAX_PAIRS)
         self.parts = _Memo(self._path, MAX_SEGMENTS, lambda s: len(s) <= MEMO_CHARS)
         self.segments = _Memo(self._segment, MAX_SEGMENTS, lambda s: len(s) <= MEMO_CHARS)
@@ -147,7 +166,7 @@ class Transducer:
     def _split(self, piece: int) -> tuple[int, int] | None:
         """The two pieces that the merges join last to give ``piece``; None if they never give it or it is a character."""
         parts = list(self.pieces[piece])
-        if len(parts) == 1:
+        if len(parts) == 1 or self.types[piece] != NORMAL:
             return None
         while len(parts) > 2:
             best, at = None, -1
@@ -162,10 +181,7 @@ class Transducer:
             return None
         return self.ids[parts[0]], self.ids[parts[1]]
 
-    def _reached(self, piece: int) -> bool:
-        return len(self.pieces[piece]) == 1 or self.splits[piece] is not None
-
-    def _fits(self, pair: tuple[int, int]) -> bool:
+    def _fits(self, pair: int) -> bool:
         """Whether the merges leave the two pieces apart.
 
         Along the border, the right edges of the left piece and the left edges of
@@ -173,7 +189,7 @@ class Transducer:
         that coexist would come first if its score beats the merge that ends
         either edge; the left of equal scores goes first.
         """
-        a, b = pair
+        a, b = divmod(pair, len(self.pieces))
         score, pieces, ids, splits = self.scores, self.pieces, self.ids, self.splits
         # Edges from the innermost character outwards, each with the score of the merge that replaces it.
         left, right = [], []
@@ -214,55 +230,91 @@ class Transducer:
             return [self.bytes[b] for b in c.encode()]
         return [self.unk]
 
+    def _only_path(self, s: str) -> list[int] | None:
+        """The one path of finite weight, depth first and longest piece first; None if it leaves the pieces.
+
+        A prefix has one such path, so a position that led nowhere is never entered again.
+        """
+        arcs, final, fits, shorter, length = self.arcs, self.final, self.fits, self.shorter, self.length
+        size, n, at, path, dead = len(self.pieces), len(s), 0, [], set()
+        root, before = arcs[0], -1
+        while at < n:
+            # The longest piece here.
+            state, i, b = root.get(s[at]), -1, at + 1
+            while state is not None:
+                if final[state] >= 0:
+                    i = final[state]
+                if b == n:
+                    break
+                state = arcs[state].get(s[b])
+                b += 1
+            while True:
+                while i >= 0 and (at + length[i] in dead or (before >= 0 and not fits[before * size + i])):
+                    i = shorter[i]
+                if i >= 0:
+                    path.append(i)
+                    at += length[i]
+                    before = i
+                    break
+                if not path:
+                    return None
+                dead.add(at)
+                i = path.pop()
+                at -= length[i]
+                before = path[-1] if path else -1
+                i = shorter[i]
+        return path
+
     def _path(self, s: str) -> bytes:
         """The ids of one part on the shortest path of its lattice, as int32 bytes."""
         n = len(s)
         if n == 1:
             i = self.ids.get(s)
-            return np.array(self._outside(s) if i is None else [i], np.int32).tobytes()
-        dist, back = [INF] * (n + 1), [(-1, -1)] * (n + 1)
+            return array("i", self._outside(s) if i is None else [i]).tobytes()
+        if self.kind == BPE and (found := self._only_path(s)) is not None:
+            return array("i", found).tobytes()
+        # Per position: the least weight, where its last arc starts, and what that arc emits (-1: outside the pieces).
+        dist, start, last = [INF] * (n + 1), [-1] * (n + 1), [-1] * (n + 1)
         dist[0] = 0.0
-        arcs, final, score, fits, bpe = self.arcs, self.final, self.scores, self.fits, self.kind == BPE
+        arcs, final, score, fits, bpe, size = self.arcs, self.final, self.scores, self.fits, self.kind == BPE, len(self.pieces)
         for a in range(n):
             d = dist[a]
             if d == INF:
                 continue
-            before = back[a][1]
-            state, b, single = 0, a, False
-            while b < n:
-                state = arcs[state].get(s[b])
-                if state is None:
+            before = last[a] * size
+            out = arcs[0].get(s[a])
+            b = a + 1
+            single = out is not None and final[out] >= 0
+            while out is not None:
+                i = final[out]
+                if i >= 0:
+                    if bpe:
+                        # One path of finite weight leads to each position.
+                        if dist[b] == INF and (before < 0 or fits[before + i]):
+                            dist[b], start[b], last[b] = d, a, i
+                    elif d - score[i] < dist[b]:
+                        dist[b], start[b], last[b] = d - score[i], a, i
+                if b == n:
                     break
+                out = arcs[out].get(s[b])
                 b += 1
-                i = final[state]
-                if i < 0:
-                    continue
-                single = single or b == a + 1
-                if bpe:
-                    # One path of finite weight leads to each position.
-                    if dist[b] == INF and self._reached(i) and (before < 0 or fits[before, i]):
-                        dist[b], back[b] = d, (a, i)
-                elif d - score[i] < dist[b]:
-                    dist[b], back[b] = d - score[i], (a, i)
             if not single and d + self.unk_weight < dist[a + 1]:
-                dist[a + 1], back[a + 1] = d + self.unk_weight, (a, -1)
+                dist[a + 1], start[a + 1], last[a + 1] = d + self.unk_weight, a, -1
         out, b = [], n
         while b:
-            a, i = back[b]
+            a, i = start[b], last[b]
             out.append([i] if i >= 0 else self._outside(s[a:b]))
             b = a
-        return np.array([i for ids in reversed(out) for i in ids], np.int32).tobytes()
+        return array("i", [i for ids in reversed(out) for i in ids]).tobytes()
 
     def _segment(self, s: str) -> bytes:
         if self.kind == UNIGRAM and not self.cuts:
             return self._path(s)
-        joined, parts, start = self.joined, [], 0
-        for k in range(1, len(s)):
-            if s[k - 1 : k + 1] not in joined:
-                parts.append(self.parts[s[start:k]])
-                start = k
-        parts.append(self.parts[s[start:]])
-        return b"".join(parts)
+        joined = self.joined
+        cut = [k for k in range(1, len(s)) if s[k - 1 : k + 1] not in joined]
+        if not cut:
+            return self.parts[s]
+        return b"".join([self.parts[s[a:b]] for a, b in zip([0, *cut], [*cut, len(s)], strict=True)])
 
     def encode(self, text: str | None) -> np.ndarray:
         norm = self.normalise(text or "")
