@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, jpeg, langid, mixing, sentencepiece_fst, sharding, suffix_dedup, window_dedup
+from . import exact_dedup, jaccard_join, jpeg, langid, line_dedup, mixing, sentencepiece_fst, sharding, suffix_dedup, window_dedup
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.Mix(documents(spark, sf_dir)).taken()
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(documents(spark, sf_dir))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = F.crc32(docs["doc_id"].cast("string").cast("binary")) % 4 == 2
@@ -58,6 +62,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_line_dedup": op2_line_dedup,
     "op3_language_id": op3_language_id,
     "op4_window_dedup": op4_window_dedup,
     "op5_exact_dedup": op5_exact_dedup,
