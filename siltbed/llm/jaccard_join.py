@@ -15,10 +15,12 @@ step misses a link.
 3. A first join inside buckets of equal least shingles (under ``BANDS``
    permutations, large buckets cut at random) finds most links, which merge
    classes into components.
-4. The exact join: two classes that link share a shingle of their shortest
-   prefixes (n - a + 1).  Lists of classes that share such a shingle and are not
-   yet one component are joined inside (equal lists once; lists of more than
-   ``LIST`` classes as pairs of parts by size).  Together with the first join,
+4. The exact join: in any common order, two classes that link share a shingle of
+   their shortest prefixes (n - a + 1).  The order is by the number of classes that
+   hold a shingle (from sketches, up to 255), rarest first.  Lists of classes that share such a shingle and are not
+   yet one component lose the classes that cannot overlap enough after it, and are
+   joined inside (equal lists once; lists of more than ``LIST`` classes as pairs of
+   parts by size).  Together with the first join,
    every pair of classes that can link has been either tested or is connected.
 
 Inside a bucket or list the sets stand in a signature tree: leaves of sets next
@@ -42,6 +44,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +58,7 @@ PERCENT = 75
 BANDS = 2
 BUCKET = 1000
 LIST = 2000
+SMALL = 400
 LEAF = 16
 FAN = 8
 BLOCK_ROWS = 4096
@@ -325,53 +329,129 @@ def _first_links(reps: DataFrame) -> DataFrame:
 
 
 def _open_lists(reps: DataFrame) -> DataFrame:
-    """(part, node): lists of nodes that share a shingle of their shortest prefixes and are not one component."""
+    """(key, members): lists of nodes that share a shingle of their shortest prefixes and are not one component."""
     groups = n_groups(reps)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, k = TaskContext.get().partitionId(), 0
         for batch in batches:
-            n = batch.column("n").to_numpy()
-            length = n - least_overlap(n) + 1
-            h = np.concatenate([np.frombuffer(t, wa.U, k) for t, k in zip(batch.column("tokens").to_pylist(), length.tolist(), strict=True)])
-            group = (wa.mix(h) >> wa.U(33)) % wa.U(groups)
-            order = np.argsort(group, kind="stable")
-            columns = [np.repeat(batch.column(c).to_numpy(), length)[order] for c in ("node", "comp", "n")]
-            h, group = h[order], group[order].astype(np.int64)
-            edge = np.flatnonzero(np.diff(group)) + 1
-            lo, hi = [0, *edge.tolist()], [*edge.tolist(), len(group)]
-            bodies = [pack(h[a:b], *(c[a:b] for c in columns)) for a, b in zip(lo, hi, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(group[lo]), pa.array(bodies, pa.binary())], names=["grp", "body"])
+            for at in range(0, batch.num_rows, 512):
+                rows = batch.slice(at, 512)
+                block = part << 32 | k
+                k += 1
+                h = np.concatenate([np.frombuffer(t, wa.U) for t in rows.column("tokens").to_pylist()])
+                mixed = wa.mix(h)
+                group = ((mixed >> wa.U(33)) % wa.U(groups)).astype(np.int64)
+                directory = pack(*(rows.column(c).to_numpy() for c in ("node", "comp", "n")), h)
+                entry = np.arange(len(h), dtype=np.uint32)
+                yield ask_rows(block, group, directory, (mixed & wa.U(0xFFFFFFFF)).astype(np.uint32), entry)
+
+    def frequencies(block: list[int], bodies: list[bytes]) -> list[bytes | None]:
+        parts = [unpack(b, np.uint32, np.uint32) for b in bodies]
+        cell = np.concatenate([p[0] for p in parts])
+        order = np.argsort(cell, kind="stable")
+        s = cell[order]
+        new = np.concatenate([[0], np.flatnonzero(s[1:] != s[:-1]) + 1])
+        times = np.diff(np.concatenate([new, [len(s)]]))
+        count = np.empty(len(s), np.uint8)
+        count[order] = np.repeat(np.minimum(times, 255), times)
+        out, at = [], 0
+        for p in parts:
+            mine = count[at : at + len(p[0])]
+            at += len(p[0])
+            more = mine > 1
+            out.append(pack(p[1][more], mine[more]) if more.any() else None)
+        return out
+
+    def prefixes(directory: bytes, answers: list[bytes]) -> pa.RecordBatch:
+        # The rarest shingles first; those of one set only match nothing but fill their part of the prefix.
+        node, comp, n, h = unpack(directory, np.int64, np.int64, np.int64, np.uint64)
+        count = np.ones(len(h), np.uint8)
+        for a in answers:
+            entry, times = unpack(a, np.uint32, np.uint8)
+            count[entry] = times
+        owner = np.repeat(np.arange(len(n)), n)
+        order = np.lexsort((h, count, owner))
+        place = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
+        use = (place < (n - least_overlap(n) + 1)[owner]) & (count[order] > 1)
+        h, left, owner = h[order[use]], (n[owner] - place)[use], owner[use]
+        group = (wa.mix(h) >> wa.U(33)) % wa.U(groups)
+        order = np.argsort(group, kind="stable")
+        h, left, owner, group = h[order], left[order], owner[order], group[order].astype(np.int64)
+        edge = np.flatnonzero(np.diff(group)) + 1
+        lo, hi = ([0, *edge.tolist()], [*edge.tolist(), len(group)]) if len(group) else ([], [])
+        columns = h, node[owner], comp[owner], n[owner], left
+        bodies = [pack(*(c[a:b] for c in columns)) for a, b in zip(lo, hi, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array([int(group[a]) for a in lo], pa.int64()), pa.array(bodies, pa.binary())], names=["grp", "body"])
 
     def lists(table: pa.Table) -> pa.Table:
-        parts = [unpack(b, np.uint64, np.int64, np.int64, np.int64) for b in table.column("body").to_pylist()]
-        h, node, comp, n = (np.concatenate([p[i] for p in parts]) for i in range(4))
+        parts = [unpack(b, np.uint64, *[np.int64] * 4) for b in table.column("body").to_pylist()]
+        h, node, comp, n, left = (np.concatenate([p[i] for p in parts]) for i in range(5))
         order = np.lexsort((node, n, h))
-        h, node, comp, n = h[order], node[order], comp[order], n[order]
+        h, node, comp, n, left = (x[order] for x in (h, node, comp, n, left))
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         last = np.concatenate([first[1:], [len(h)]])
         mixed = np.minimum.reduceat(comp, first) != np.maximum.reduceat(comp, first)
-        out = {}
+        out: dict[bytes, int] = {}
         for a, b in zip(first[mixed].tolist(), last[mixed].tolist(), strict=True):
+            if b - a <= SMALL:
+                # The shingle is the first common one of some pairs: of these, keep sets that can overlap enough.
+                x, y, c = n[a:b], left[a:b], comp[a:b]
+                need = PERCENT * (x[:, None] + x)
+                fit = ((100 + PERCENT) * np.minimum(y[:, None], y) >= need) & (c[:, None] != c)
+                own = np.sort(node[a:b][fit.any(1)])
+                if len(own):
+                    out[own.tobytes()] = int(own[0])
+                continue
             # Parts by size; a pair of parts is joined if its sizes allow a link.
             edges = [*range(a, b, LIST // 2 if b - a > LIST else b - a), b]
             spans = list(zip(edges[:-1], edges[1:], strict=True))
             for i, (p, q) in enumerate(spans):
                 for r, s in spans[i + 1 :] if len(spans) > 1 else [(q, q)]:
                     if r == s or 100 * n[q - 1] >= PERCENT * n[r]:
-                        body = node[p:q].tobytes() + node[r:s].tobytes()
-                        out[body] = None
-        return pa.table({"members": pa.array(list(out), pa.binary())})
+                        own = np.sort(np.concatenate([node[p:q], node[r:s]]))
+                        out[own.tobytes()] = int(wa.mix(h[a : a + 1] + wa.U(i << 20 | r)).view(np.int64)[0])
+        return pa.table({"key": pa.array(list(out.values()), pa.int64()), "members": pa.array(list(out), pa.binary())})
+
+    asks = reps.select("node", "comp", "n", "tokens").mapInArrow(ask, ASK_SCHEMA)
+    found = answered(asks, frequencies, prefixes, "grp long, body binary").groupBy("grp").applyInArrow(lists, "key long, members binary")
+    return found.distinct()
+
+
+def _list_links(open_: DataFrame, reps: DataFrame) -> DataFrame:
+    """Links (a, b) inside the open lists.  Lists with a key meet, so a set goes once to each key's task."""
+    groups = n_groups(reps)
 
-    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [np.frombuffer(b, np.int64) for b in batch.column("members").to_pylist()]
-            part = np.repeat(batch.column("part").to_numpy(), [len(r) for r in rows])
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64))], names=["part", "node"])
+            grp = np.repeat(batch.column("grp").to_numpy(), [len(r) for r in rows])
+            pair = np.stack([grp, np.concatenate(rows) if rows else np.zeros(0, np.int64)], 1)
+            pair = np.unique(pair, axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["grp", "node"])
+
+    def run(lists: pa.Table, sets: pa.Table) -> pa.Table:
+        names = sets.column("node").to_pylist()
+        index = {x: i for i, x in enumerate(names)}
+        tokens = [np.frombuffer(t, wa.U) for t in sets.column("tokens").to_pylist()]
+        forest, first = _Forest(len(names)), {}
+        for i, c in enumerate(sets.column("comp").to_pylist()):
+            forest.join(first.setdefault(c, i), i)
+        out = []
+        for body in sorted(lists.column("members").to_pylist(), key=lambda b: (len(b), b)):
+            mine = [index[x] for x in np.frombuffer(body, np.int64).tolist()]
+            known = [forest.find(i) for i in mine]
+            if len(set(known)) == 1:
+                continue
+            for i, j in linked([tokens[i] for i in mine], known):
+                forest.join(mine[i], mine[j])
+                out.append((names[mine[i]], names[mine[j]]))
+        return pa.table({"a": pa.array([x[0] for x in out], pa.int64()), "b": pa.array([x[1] for x in out], pa.int64())})
 
-    asks = reps.select("node", "comp", "n", "tokens").mapInArrow(ask, "grp long, body binary")
-    found = asks.groupBy("grp").applyInArrow(lists, "members binary")
-    named = found.select(F.xxhash64("members").alias("part"), "members").distinct()
-    return named.mapInArrow(members, "part long, node long")
+    lists = open_.select(F.pmod(F.xxhash64("key"), F.lit(16 * groups)).alias("grp"), "members")
+    pairs = lists.mapInArrow(nodes, "grp long, node long").distinct()
+    sets = pairs.join(reps.select("node", "comp", "tokens").hint("merge"), "node")
+    return cut(lists.groupBy("grp").cogroup(sets.groupBy("grp")).applyInArrow(run, "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -392,13 +472,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_
     links = _first_links(reps)
     near = cut(components(links), "jaccard-near")
     known = reps.join(near.hint("merge"), "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+    known = cut(known.select("node", "comp", "n", "tokens"), "jaccard-known")
     open_ = cut(_open_lists(known), "jaccard-open")
-    tokens = known.select("node", "comp", "tokens")
-    more = _joined(open_.join(tokens.hint("merge"), "node").withColumn("grp", F.pmod("part", F.lit(n_groups(reps)))), "links")
+    more = _list_links(open_, known)
     all_links = links.unionByName(more).unionByName(equal)
     final = components(all_links)
     discard(sets)
     discard(reps)
+    discard(known)
     n = final.count()
     out = counted.join(F.broadcast(final) if n <= BROADCAST_ROWS else final.hint("merge"), counted["id"] == final["node"], "left")
     real = F.when(F.col("id") != NULL_ID, F.col("id")).cast(id_type)
