@@ -33,7 +33,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = cut(edges, "edges")
     state = None
     while True:
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == state or not now[0]:
             break
         state = now

@@ -158,7 +158,7 @@ def sort_suffixes(text: np.ndarray, at: np.ndarray, depth: int = LENGTH, v: int
     s = at[order]
     same = np.zeros(len(at), bool)
     if len(at) > 1:
-        alike = np.flatnonzero(tie[order][1:] == tie[order][:-1])
+        alike = np.flatnonzero(tie[order][1:] == tie[order][:-1]) if depth >= v else np.arange(len(at) - 1)
         x, y = s[alike], s[alike + 1]
         ok = np.ones(len(alike), bool)
         steps = [*range(0, depth - 7, 8), depth - 8] if depth >= 8 else []

@@ -43,14 +43,14 @@ def _powers_up_to(bits: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     p, q = _powers_up_to(max(16, int(n).bit_length()), base)
     return p[:n], q[:n]
 
 
 def prefix(values: np.ndarray, base: int = 0) -> np.ndarray:
     """Sums such that ``span`` gives the polynomial of any range."""
-    p, _ = _powers(len(values), base)
+    p, _ = powers(len(values), base)
     out = np.zeros(len(values) + 1, U)
     np.cumsum(values * p, dtype=U, out=out[1:])
     return out
@@ -58,7 +58,7 @@ def prefix(values: np.ndarray, base: int = 0) -> np.ndarray:
 
 def span(sums: np.ndarray, a: np.ndarray, b: np.ndarray, base: int = 0) -> np.ndarray:
     """Hashes of the ranges [a, b)."""
-    _, q = _powers(len(sums), base)
+    _, q = powers(len(sums), base)
     return mix((sums[b] - sums[a]) * q[a])
 
 
@@ -68,7 +68,7 @@ def rolling(values: np.ndarray, length: int, base: int = 0) -> np.ndarray:
     if n <= 0:
         return np.zeros(0, U)
     sums = prefix(values, base)
-    _, q = _powers(n, base)
+    _, q = powers(n, base)
     return mix((sums[length:] - sums[:-length]) * q)
 
 
