@@ -123,7 +123,7 @@ def record_text(record: Column, field: str = "prompt", profile: str = "generate"
         mine = F.when(canonical_role(_get(v, "role"), profile) == role, _get(v, "content"))
         structured = F.when(F.size(msgs) > 0, last_content(msgs, role)).when(own_role, mine).otherwise(plain)
     else:
-        found = F.coalesce(*[F.size(_list(v, k)) > 0 for k in CONVERSATION_KEYS], F.lit(False))
+        found = F.coalesce(F.greatest(*[F.size(_list(v, k)) > 0 for k in CONVERSATION_KEYS]), F.lit(False))
         structured = F.when(found, last_content(msgs, role)).when(own_role, _get(v, "content")).otherwise(plain)
     whole = record if field == "prompt" or profile == "generate" else F.lit(None).cast("string")
     return F.when(v.isNull(), whole).otherwise(structured)

@@ -61,7 +61,7 @@ def _packed(df: DataFrame, id_col: str, vector_col: str, blocks: int) -> DataFra
 
 def _best(q_ids: np.ndarray, q: np.ndarray, d_ids: np.ndarray, d: np.ndarray, k: int, exclude_self: bool) -> tuple[np.ndarray, ...]:
     """(query id, match id, similarity) of each query's best k; the smallest id first among equals."""
-    sims = q @ d.T
+    sims = np.round(q @ d.T, 12)  # equal vectors tie whatever the order of additions
     if exclude_self:
         sims[q_ids[:, None] == d_ids[None, :]] = -np.inf
     k = min(k, len(d_ids))

@@ -32,7 +32,7 @@ def read_records(spark: SparkSession, path: str, strict: bool = False) -> DataFr
 
 def read_json_or_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """A whole-file JSON array or object if the file is one, else JSON lines without bad ones."""
-    whole = spark.read.option("wholetext", "true").text(path)
+    whole = spark.read.text(path, wholetext=True)
     bad = whole.where(F.try_parse_json("value").isNull() | F.trim("value").rlike(r"^\{.*\}\s*\{")).limit(1).count()
     return read_jsonl(spark, path, strict=False) if bad else spark.read.option("multiLine", "true").json(path)
 
