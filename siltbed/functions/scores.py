@@ -54,6 +54,13 @@ def native_score(text: Column, failures_count: bool = False) -> Column:
     return out if failures_count else F.when(~F.contains(text, F.lit(FAILED_PREFIX)), out)
 
 
+def embedded_object(text: Column) -> Column:
+    """The JSON object in a text, as a variant: the whole text, or from the first brace to the last, single quotes allowed."""
+    inner = F.regexp_extract(text, r"(?s)\{.*\}", 0)
+    found = F.coalesce(F.try_parse_json(strip(text)), F.try_parse_json(inner), F.try_parse_json(F.replace(inner, F.lit("'"), F.lit('"'))))
+    return F.when(F.startswith(F.schema_of_variant(found), F.lit("OBJECT")), found)
+
+
 def _as_float(value: object) -> float | None:
     try:
         return float(value) if isinstance(value, int | float | str) else None

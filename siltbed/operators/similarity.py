@@ -33,13 +33,14 @@ def with_unit_vectors(df: DataFrame, vector_col: str = "embedding", out: str = "
 def parsed_vectors(df: DataFrame, candidates: tuple[str, ...] = ("embedding", "emb", "vector", "embedding_vector")) -> DataFrame:
     """``embedding`` as array<float> from the first of the candidate columns that has a value.
 
-    Strings are read as JSON arrays.  Rows without a vector are dropped.
+    Strings are read as JSON arrays or tuples.  Rows without a vector are dropped.
     """
     kinds = dict(df.dtypes)
     have = [c for c in candidates if c in kinds]
     if not have:
         raise ValueError(f"no vector column among {df.columns}")
-    read = [F.from_json(df[c], "array<float>") if kinds[c] == "string" else df[c].cast("array<float>") for c in have]
+    plain = lambda c: F.regexp_replace(F.trim(df[c]), r"^\((.*?),?\s*\)$", "[$1]")
+    read = [F.from_json(plain(c), "array<float>") if kinds[c] == "string" else df[c].cast("array<float>") for c in have]
     return df.withColumn("embedding", F.coalesce(*read)).drop(*[c for c in have if c != "embedding"]).where(F.col("embedding").isNotNull())
 
 

@@ -186,6 +186,12 @@ def test_aspects(spark):
     assert one(spark, "x [[ +3.5 ]]", scores.bracket_score).c0 == 3.5
 
 
+@pytest.mark.parametrize(("value", "want"), [('{"a": 1}', 1), ("so {'a': 2} there", 2), ('x {"a": {"b": 1}, "a2": 3} y', None), ("[1]", None), (None, None)])
+def test_embedded_object(spark, value, want):
+    got = one(spark, value, lambda x: F.try_variant_get(scores.embedded_object(x), "$.a", "int")).c0
+    assert got == want
+
+
 @pytest.mark.parametrize(
     ("stored", "want"),
     [

@@ -10,7 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from siltbed.operators import cluster, dedup, filters, model_calls, similarity
-from siltbed.plans import pipeline
+from siltbed.plans import multi_turn, pipeline
 from siltbed.streaming import resume
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers do not import tests
@@ -94,8 +94,8 @@ def test_decontaminate(spark):
 
 
 def test_vectors_of_any_spelling(spark):
-    df = spark.createDataFrame([("[1, 2]", None), (None, [3.0, 4.0]), ("bad", None)], "emb string, vector array<double>")
-    assert sorted(r.embedding for r in similarity.parsed_vectors(df).collect()) == [[1.0, 2.0], [3.0, 4.0]]
+    df = spark.createDataFrame([("[1, 2]", None), (None, [3.0, 4.0]), ("bad", None), ("(5, 6,)", None)], "emb string, vector array<double>")
+    assert sorted(r.embedding for r in similarity.parsed_vectors(df).collect()) == [[1.0, 2.0], [3.0, 4.0], [5.0, 6.0]]
 
 
 def test_first_of_each_and_not_done(spark):
@@ -213,6 +213,21 @@ def test_stream_of_parts(spark, tmp_path):
         assert out.count() == out.select("key").distinct().count() == 4 * (k + 1)
 
 
+def test_multi_turn_runner(spark, tmp_path):
+    lines = [{"conversations": [{"from": "human", "value": t}]} for t in ("one", "two", "one", "bad", "four")] + [{"other": 1}]
+    data, saved = f"file://{tmp_path}/in.jsonl", f"file://{tmp_path}/out"
+    (tmp_path / "in.jsonl").write_text("\n".join(map(json.dumps, lines)) + "\n{broken\n")
+    client = model_calls.FakeClient(answer=lambda p: "\n" + p.upper() + "\n", fails=lambda key, attempt: False)
+    assert multi_turn.open_records(spark, data, saved, 2).count() == 2
+    assert multi_turn.run(spark, data, saved, client, "B:", max_samples=3) == 3
+    assert multi_turn.run(spark, data, saved, client, "B:", max_samples=0) == 1
+    assert multi_turn.run(spark, data, saved, client, "B:", max_samples=0) == 0
+    rows = spark.read.json(saved).collect()
+    assert sorted(r.outputs for r in rows) == ["B:【USER】：BAD", "B:【USER】：FOUR", "B:【USER】：ONE", "B:【USER】：TWO"]
+    down = model_calls.FakeClient(fails=lambda key, attempt: True)
+    assert multi_turn.run(spark, data, f"file://{tmp_path}/none", down) == 0
+
+
 def test_pipeline(spark, tmp_path):
     convs = [{"conversations": [{"role": "user", "content": c}, {"role": "assistant", "content": "fine"}]} for c in ("alpha beta gamma", "alpha beta gamma", "other words here", "zzz")]
     records = spark.createDataFrame([(i, json.dumps(c)) for i, c in enumerate(convs)] + [(9, '{"x": 1}')], "idx long, orig string")
