@@ -74,6 +74,67 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_window_dedup": r"""
+        WITH w AS MATERIALIZED (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+        ), win AS (
+            SELECT doc_id, i, hash(ws[i:i+34]) AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM w)
+        ), rep AS (
+            SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY k) AS c FROM win) WHERE c > 1
+        ), gone AS (
+            SELECT DISTINCT doc_id, j FROM (SELECT doc_id, unnest(range(i, i + 35)) AS j FROM rep)
+        ), kept AS (
+            SELECT doc_id, string_agg(x, ' ' ORDER BY j) AS t, count(*) AS n
+            FROM (SELECT doc_id, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS j FROM w) ANTI JOIN gone USING (doc_id, j)
+            GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(t, '')) AS kept_sha256
+        FROM w LEFT JOIN kept USING (doc_id)
+    """,
+    "op8_suffix_dedup": r"""
+        WITH t AS MATERIALIZED (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+        ), s AS (
+            SELECT doc_id, i, hash(substr(h, 2 * i + 1, 200)) AS k FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM t)
+        ), rep AS (
+            SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS r FROM s) WHERE r > 1
+        ), run AS (
+            SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (
+                SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM (
+                    SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 100 THEN 0 ELSE 1 END AS new FROM rep))
+            GROUP BY doc_id, g
+        ), gap AS (
+            SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS from_ FROM run
+        ), cut AS (
+            SELECT doc_id, count(*) AS spans, sum(b - a) AS gone, max(b) AS last,
+                   string_agg(substr(h, 2 * from_ + 1, 2 * (a - from_)), '' ORDER BY a) AS head
+            FROM gap JOIN t USING (doc_id) GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+               sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+        FROM t LEFT JOIN cut USING (doc_id)
+    """,
+    "op10_jaccard_join": r"""
+        WITH RECURSIVE w AS MATERIALIZED (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS ws FROM documents
+        ), s AS MATERIALIZED (
+            SELECT DISTINCT doc_id, hash(ws[i:i+4]) AS k FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)
+        ), c AS MATERIALIZED (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), p AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY 1, 2
+        ), l AS MATERIALIZED (
+            SELECT x, y FROM p JOIN c ON c.doc_id = x JOIN c d ON d.doc_id = y WHERE 100 * o >= 75 * (c.n + d.n - o)
+        ), e AS MATERIALIZED (
+            SELECT x, y FROM l UNION ALL SELECT y, x FROM l
+        ), reach(doc_id, there) AS (
+            SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.y FROM reach r JOIN e ON e.x = r.there
+        )
+        SELECT d.doc_id, CAST(coalesce(any_value(c.n), 0) AS BIGINT) AS n_shingles, min(r.there) AS component_id
+        FROM documents d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = d.doc_id GROUP BY d.doc_id
+    """,
     "op5_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents
