@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import chunks, cut
+from .shared import bounded_batches, chunks, cut, lean_group
 
 ASK_SCHEMA = "grp long, block long, body binary"
 ANSWER_SCHEMA = "block long, kind int, body binary"
@@ -67,6 +67,7 @@ def stable(docs: DataFrame) -> DataFrame:
 
 def keyed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     """(k1, k2, id, text, more): two hashes of id and text name a row; rows equal in both share them."""
+    bounded_batches(docs.sparkSession)
     both = [docs[id_col].cast("string"), docs[text_col]]
     return docs.select(
         F.xxhash64(F.lit(1), *both).alias("k1"),
@@ -79,13 +80,24 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
 
 def blocks(batches: Iterable[pa.RecordBatch], limit: int = BLOCK_BYTES, max_rows: int = MAX_BLOCK_ROWS) -> Iterator[tuple[int, pa.RecordBatch]]:
     """(block number, rows): the input in blocks of about ``limit`` bytes of text."""
-    part, k = TaskContext.get().partitionId(), 0
+    part, k, held, size, rows = TaskContext.get().partitionId(), 0, [], 0, 0
     for batch in batches:
         sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_pylist()
         for a, b in chunks(sizes, limit):
             for c in range(a, b, max_rows):
-                yield part << 32 | k, batch.slice(c, min(b, c + max_rows) - c)
-                k += 1
+                d = min(b, c + max_rows)
+                more = sum(sizes[c:d])
+                if held and (size + more > limit or rows + d - c > max_rows):
+                    yield part << 32 | k, _one(held)
+                    k, held, size, rows = k + 1, [], 0, 0
+                held.append(batch.slice(c, d - c))
+                size, rows = size + more, rows + d - c
+    if held:
+        yield part << 32 | k, _one(held)
+
+
+def _one(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
 
 def ask_rows(block: int, group: np.ndarray, directory: bytes, *entries: np.ndarray) -> pa.RecordBatch:
@@ -132,8 +144,8 @@ def answered(
         out = combine(next(x for k, x in zip(kind, body, strict=True) if k == 0), [x for k, x in zip(kind, body, strict=True) if k])
         return pa.Table.from_batches([out])
 
-    merged = asks.groupBy("grp").applyInArrow(by_group, ANSWER_SCHEMA)
-    return merged.groupBy("block").applyInArrow(by_block, schema)
+    merged = asks.groupBy("grp").applyInArrow(lean_group(by_group), ANSWER_SCHEMA)
+    return merged.groupBy("block").applyInArrow(lean_group(by_block), schema)
 
 
 def join_payload(rows: DataFrame, found: DataFrame, payload: str, how: str) -> DataFrame:

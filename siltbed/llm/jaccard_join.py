@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 from . import wordarrays as wa
 from .components import components
 from .exchange import ASK_SCHEMA, answered, ask_rows, blocks, join_payload, keyed, n_groups, pack, stable, unpack
-from .shared import BROADCAST_ROWS, cut, discard
+from .shared import BROADCAST_ROWS, WORK_BYTES, chunks, cut, discard, lean, lean_group
 
 SHINGLE = 5
 PERCENT = 75
@@ -73,6 +73,11 @@ _SEEDS = (0x8CB92BA72F3D8DD7, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x589965CC
 
 def shingle_sets(texts: list[str | None], shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, n): the distinct shingle hashes of all texts, ascending within each, and how many each text has."""
+    parts = [_shingle_sets(texts[a:b], shingle) for a, b in chunks([len(t or "") for t in texts], WORK_BYTES)]
+    return tuple(np.concatenate([p[i] for p in parts]) for i in range(2)) if parts else (np.zeros(0, wa.U), np.zeros(0, np.int64))
+
+
+def _shingle_sets(texts: list[str | None], shingle: int) -> tuple[np.ndarray, np.ndarray]:
     words = wa.Words(texts, lower=True)
     start, text = words.windows(shingle)
     h = wa.rolling(words.hash, shingle, 1)[start] if len(start) else np.zeros(0, wa.U)
@@ -271,7 +276,7 @@ def _counted(rows: DataFrame, shingle: int) -> DataFrame:
         _, need = _lengths(n)
         return pa.RecordBatch.from_arrays([pa.array(x) for x in (k1, k2, ids, n, (n > 0) & (hits >= need))], names=["k1", "k2", "id", "n", "alive"])
 
-    asks = rows.select("k1", "k2", "id", "text").mapInArrow(ask, ASK_SCHEMA)
+    asks = rows.select("k1", "k2", "id", "text").mapInArrow(lean(ask), ASK_SCHEMA)
     return answered(asks, merge, combine, "k1 long, k2 long, id long, n long, alive boolean")
 
 
@@ -292,7 +297,7 @@ def _sets(rows: DataFrame, alive: DataFrame, shingle: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "s1", "s2", *bands, "tokens"])
 
     found = join_payload(rows.select("k1", "k2", "id", "text"), alive.select("k1", "k2", F.lit(b"").alias("x")), "x", "left_semi")
-    return found.mapInArrow(run, "id long, n long, s1 long, s2 long, " + ", ".join(f"{m} long" for m in bands) + ", tokens binary")
+    return found.mapInArrow(lean(run), "id long, n long, s1 long, s2 long, " + ", ".join(f"{m} long" for m in bands) + ", tokens binary")
 
 
 def _joined(members: DataFrame, name: str) -> DataFrame:
@@ -312,7 +317,7 @@ def _joined(members: DataFrame, name: str) -> DataFrame:
                 out += [(int(node[mine[i]]), int(node[mine[j]])) for i, j in links]
         return pa.table({"a": pa.array([x[0] for x in out], pa.int64()), "b": pa.array([x[1] for x in out], pa.int64())})
 
-    return cut(members.groupBy("grp").applyInArrow(run, "a long, b long"), name)
+    return cut(members.groupBy("grp").applyInArrow(lean_group(run), "a long, b long"), name)
 
 
 def _first_links(reps: DataFrame) -> DataFrame:
@@ -413,8 +418,8 @@ def _open_lists(reps: DataFrame) -> DataFrame:
                         out[own.tobytes()] = int(wa.mix(h[a : a + 1] + wa.U(i << 20 | r)).view(np.int64)[0])
         return pa.table({"key": pa.array(list(out.values()), pa.int64()), "members": pa.array(list(out), pa.binary())})
 
-    asks = reps.select("node", "comp", "n", "tokens").mapInArrow(ask, ASK_SCHEMA)
-    found = answered(asks, frequencies, prefixes, "grp long, body binary").groupBy("grp").applyInArrow(lists, "key long, members binary")
+    asks = reps.select("node", "comp", "n", "tokens").mapInArrow(lean(ask), ASK_SCHEMA)
+    found = answered(asks, frequencies, prefixes, "grp long, body binary").groupBy("grp").applyInArrow(lean_group(lists), "key long, members binary")
     return found.distinct()
 
 
@@ -449,9 +454,9 @@ def _list_links(open_: DataFrame, reps: DataFrame) -> DataFrame:
         return pa.table({"a": pa.array([x[0] for x in out], pa.int64()), "b": pa.array([x[1] for x in out], pa.int64())})
 
     lists = open_.select(F.pmod(F.xxhash64("key"), F.lit(16 * groups)).alias("grp"), "members")
-    pairs = lists.mapInArrow(nodes, "grp long, node long").distinct()
+    pairs = lists.mapInArrow(lean(nodes), "grp long, node long").distinct()
     sets = pairs.join(reps.select("node", "comp", "tokens").hint("merge"), "node")
-    return cut(lists.groupBy("grp").cogroup(sets.groupBy("grp")).applyInArrow(run, "a long, b long"), "links")
+    return cut(lists.groupBy("grp").cogroup(sets.groupBy("grp")).applyInArrow(lean_group(run), "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

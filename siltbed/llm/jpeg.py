@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .shared import chunks
+from .shared import bounded_batches, chunks, lean
 
 ROW = 192
 MAX_ROWS = 8191
@@ -385,6 +385,7 @@ SCHEMA = (
 
 def media_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_media: bool = False) -> DataFrame:
     """Stores each text as JPEG, reads it back and describes it; ``with_media`` adds the stored bytes."""
+    bounded_batches(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {id_type}, {SCHEMA}" + ", media binary" * with_media
     names = [id_col, *(c.split()[0] for c in SCHEMA.split(", ")), *["media"] * with_media]
@@ -400,7 +401,7 @@ def media_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 types = [part.column(0).type, *_ARROW, *[pa.binary()] * with_media]
                 yield pa.RecordBatch.from_arrays([c.cast(t) for c, t in zip(out.columns, types, strict=True)], names=names)
 
-    return docs.select(docs[id_col], docs[text_col]).mapInArrow(run, schema)
+    return docs.select(docs[id_col], docs[text_col]).mapInArrow(lean(run), schema)
 
 
 _ARROW = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64()]

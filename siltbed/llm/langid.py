@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import chunks, cut
+from .shared import bounded_batches, chunks, cut, lean
 
 N = 4
 HASHES = 3
@@ -46,7 +46,7 @@ POSITION_BITS = 20
 DOCS_PER_LANG = 400
 MAX_LANGS = 64
 MIN_SHARE = 0.01
-BATCH_CHARS = 1 << 19
+BATCH_CHARS = 1 << 18
 UNKNOWN = "und"
 
 
@@ -137,12 +137,20 @@ def learn(
     min_share: float = MIN_SHARE,
 ) -> Filters:
     """Filters from a bounded sample of the rows where ``usable`` holds and lang is not null."""
+    bounded_batches(docs.sparkSession)
     rows = docs.where(usable & docs[lang_col].isNotNull() & docs[text_col].isNotNull())
     rows = rows.select(docs[id_col].alias("_id"), docs[lang_col].cast("string").alias("_lang"))
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id", F.lit(3)), "_id")
-    chosen = cut(rows.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= docs_per_lang).drop("_r"), "lang-sample")
-    found = chosen.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(MAX_LANGS).collect()
-    langs, need = [r["_lang"] for r in found], [max(2 if r["count"] > 1 else 1, min_share * r["count"]) for r in found]
+    found = rows.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(MAX_LANGS).collect()
+    # The smallest hashes of a language lie below this limit (four times as many do on average), so few rows are ranked.
+    span = 1 << 31
+    below = F.lit(0)
+    for r in found:
+        below = F.when(F.col("_lang") == r["_lang"], F.lit(min(span, 4 * docs_per_lang * span // r["count"] + 1))).otherwise(below)
+    rows = rows.withColumn("_hash", F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(span))).where(F.col("_hash") < below)
+    order = Window.partitionBy("_lang").orderBy("_hash", "_id")
+    chosen = cut(rows.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= docs_per_lang).drop("_r", "_hash"), "lang-sample")
+    langs, sizes = [r["_lang"] for r in found], [min(docs_per_lang, r["count"]) for r in found]
+    need = [max(2 if n > 1 else 1, min_share * n) for n in sizes]
     if not langs:
         return Filters([], np.zeros((0, 1 << POSITION_BITS), np.uint8))
     index = {x: i for i, x in enumerate(langs)}
@@ -157,7 +165,7 @@ def learn(
     # At most docs_per_lang * MAX_LANGS ids, so the sample's side is broadcast.
     texts = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"))
     sample = F.broadcast(chosen.dropDuplicates(["_id"])).join(texts, "_id").select("_lang", "_text")
-    counted = sample.mapInArrow(grams, "lang int, h long").groupBy("lang", "h").count()
+    counted = sample.mapInArrow(lean(grams), "lang int, h long").groupBy("lang", "h").count()
     limits = F.element_at(F.array(*[F.lit(float(x)) for x in need]), F.col("lang") + 1)
     bit = F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), F.col("lang") % 8 + 1)
     at = [F.shiftrightunsigned("h", k * POSITION_BITS).bitwiseAND(F.lit((1 << POSITION_BITS) - 1)) for k in range(HASHES)]
@@ -172,23 +180,29 @@ def learn(
 
 
 def identify(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col: str = "text", keep: list[Column] | None = None) -> DataFrame:
-    """id, the columns of ``keep``, lang_pred and score of each row; only the text decides."""
+    """id, the columns of ``keep``, lang_pred and score of each row; only the text decides.
+
+    ``keep`` may hold the text column itself, which then is sent once.
+    """
     spark = docs.sparkSession
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(filters)  # POSITION_BITS and MAX_LANGS bound it by 8 MB
-    rows = docs.select(docs[id_col], *(keep or []), docs[text_col].alias("_text"))
-    fields = [f for f in rows.schema.fields if f.name != "_text"]
+    kept = docs.select(docs[id_col], *(keep or []))
+    own = kept.columns.index(text_col) if text_col in kept.columns else -1
+    rows = kept if own >= 0 else docs.select(docs[id_col], *(keep or []), docs[text_col].alias("_text"))
+    fields = kept.schema.fields
     names = [f.name for f in fields]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", lang_pred string, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        learned = shared.value
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
+            texts = batch.column(own)
             sizes = pa.compute.fill_null(pa.compute.utf8_length(texts), 0).to_pylist()
             for a, b in chunks(sizes, BATCH_CHARS):
-                got = own.predict(texts.slice(a, b - a).to_pylist())
-                columns = [c.slice(a, b - a) for c in batch.columns[:-1]]
+                got = learned.predict(texts.slice(a, b - a).to_pylist())
+                columns = [c.slice(a, b - a) for c in batch.columns[: len(names)]]
                 columns += [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, "lang_pred", "score"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)

@@ -40,6 +40,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .shared import KEPT, bounded_batches, lean
+
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 INF = float("inf")
@@ -331,6 +333,7 @@ class Transducer:
 
 
 _COMPILED: dict[str, Transducer] = {}
+KEPT["sentencepiece"] = _COMPILED.clear
 
 
 def compiled(model: bytes) -> Transducer:
@@ -353,6 +356,7 @@ SCHEMA = "n_tokens int, ids array<int>, decoded_sha256 string, round_trip boolea
 
 def encode_documents(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_tokens, ids, the SHA-256 of the decoded text, and whether it equals the text."""
+    bounded_batches(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,4 +380,4 @@ def encode_documents(docs: DataFrame, model: bytes, id_col: str = "doc_id", text
                     names=[id_col, "n_tokens", "ids", "decoded_sha256", "round_trip"],
                 )
 
-    return docs.select(docs[id_col], docs[text_col]).mapInArrow(run, f"`{id_col}` {id_type}, {SCHEMA}")
+    return docs.select(docs[id_col], docs[text_col]).mapInArrow(lean(run, "sentencepiece"), f"`{id_col}` {id_type}, {SCHEMA}")

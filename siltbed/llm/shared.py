@@ -7,29 +7,82 @@ a task retry and never an intermediate table.
 
 from __future__ import annotations
 
-import tempfile
+import ctypes
+import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import shared_dir
+
 #: Rows of a side that may be broadcast.  The rows broadcast here hold a few
 #: numbers or short digests (at most about 200 bytes each), so 200,000 of them
 #: stay under 40 MB.
 BROADCAST_ROWS = 200_000
 
-#: White space of the word contracts.
-SPACE_CLASS = r"\x20\x09-\x0D"
+#: Rows of a batch sent to a Python worker.
+BATCH_ROWS = 1000
+
+#: Bytes of text that numpy works on at once, so that arrays stay in the CPU's cache.
+WORK_BYTES = 1 << 18
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Rows reach Python workers in batches of 1,000 at most, so that batches of long texts stay small."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
+#: What operators keep in a Python worker between tasks: name to a function that drops it.
+KEPT: dict[str, Callable[[], None]] = {}
+_trimmed = [0.0]
+
+
+def trim() -> None:
+    """Give freed memory back to the system, so that idle workers stay small; at most once in two seconds."""
+    if time.monotonic() - _trimmed[0] < 2:
+        return
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+    _trimmed[0] = time.monotonic()
+
+
+def lean(f: Callable, keep: str = "") -> Callable:
+    """A function over batches that starts without what other operators kept, and trims memory at its end."""
+
+    def run(batches):
+        for name, drop in KEPT.items():
+            if name != keep:
+                drop()
+        try:
+            yield from f(batches)
+        finally:
+            trim()
+
+    return run
+
+
+def lean_group(f: Callable) -> Callable:
+    """The same for functions of one or two grouped tables."""
+
+    def one(table):
+        out = f(table)
+        trim()
+        return out
 
+    def two(left, right):
+        out = f(left, right)
+        trim()
+        return out
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one only where it is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="siltbed-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+    return one if f.__code__.co_argcount == 1 else two
 
 
 def cut(df: DataFrame, name: str = "t") -> DataFrame:

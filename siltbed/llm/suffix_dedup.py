@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from . import wordarrays as wa
 from .exchange import ASK_SCHEMA, answered, ask_batch, blocks, join_payload, keyed, n_groups, pack, stable, unpack
-from .shared import cut, discard
+from .shared import WORK_BYTES, chunks, cut, discard, lean
 from .window_dedup import FOUND_SCHEMA, found_batch, local_counts, long_arrays, merge_sketch, repeated_entries, sketch_asks
 
 LENGTH = 100
@@ -219,18 +219,21 @@ def candidates(rows: DataFrame, length: int, gram: int) -> DataFrame:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, part in blocks(batches):
             part = part.take(pa.array(distinct_rows(part)))
-            s = Strings([(t or "").encode() for t in part.column("text").to_pylist()], length, gram)
-            a, b, text = s.runs()
-            if not len(a):
+            raw, got = [(t or "").encode() for t in part.column("text").to_pylist()], []
+            for lo, hi in chunks([len(r) for r in raw], WORK_BYTES):
+                s = Strings(raw[lo:hi], length, gram)
+                a, b, text = s.runs()
+                if len(a):
+                    got.append((s.grams[s.anchor[a]], a - s.first[text], b - a, text + lo))
+            if not got:
                 continue
-            keys = s.grams[s.anchor[a]]
+            keys, where, size, text = (np.concatenate([g[i] for g in got]) for i in range(4))
             first, _ = local_counts(keys)
             _, entry = np.unique(keys, return_inverse=True)
             rank = np.empty(int(first.sum()), np.int64)
             rank[entry[first]] = np.arange(int(first.sum()))
             k1, k2 = long_arrays(part)
-            where = (a - s.first[text]).astype(np.uint32)
-            directory = pack(k1, k2, text.astype(np.uint16), where, (b - a).astype(np.uint16), rank[entry].astype(np.uint32))
+            directory = pack(k1, k2, text.astype(np.uint16), where.astype(np.uint32), size.astype(np.uint16), rank[entry].astype(np.uint32))
             yield sketch_asks(block, keys, groups, 1, directory)
 
     def combine(directory: bytes, answers: list[bytes]) -> pa.RecordBatch:
@@ -239,7 +242,7 @@ def candidates(rows: DataFrame, length: int, gram: int) -> DataFrame:
         a = where[hit].astype(np.int64)
         return found_batch(k1, k2, text[hit], a, a + n[hit])
 
-    asks = rows.select("k1", "k2", "text").mapInArrow(ask, ASK_SCHEMA)
+    asks = rows.select("k1", "k2", "text").mapInArrow(lean(ask), ASK_SCHEMA)
     return answered(asks, merge_sketch, combine, FOUND_SCHEMA)
 
 
@@ -341,7 +344,7 @@ def repeated(rows: DataFrame, found: DataFrame, length: int, gram: int) -> DataF
         text, a, n = (np.concatenate([g[i] for g in got]).astype(np.int64) for i in range(3))
         return found_batch(k1, k2, text, a, a + n)
 
-    asks = join_payload(rows.select("k1", "k2", "id", "text"), found, "ranges", "inner").mapInArrow(ask, ASK_SCHEMA)
+    asks = join_payload(rows.select("k1", "k2", "id", "text"), found, "ranges", "inner").mapInArrow(lean(ask), ASK_SCHEMA)
     return answered(asks, merge, combine, FOUND_SCHEMA).dropDuplicates(["k1", "k2"])
 
 
@@ -441,4 +444,4 @@ def remove_repeats(
             types = [pa.int64()] * 3 + [pa.string()] * 2
             yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(c, t) for c, t in zip(columns, types, strict=False))], names=names)
 
-    return join_payload(rows, found, "ranges", "left").select("id", "text", "ranges").mapInArrow(run, schema)
+    return join_payload(rows, found, "ranges", "left").select("id", "text", "ranges").mapInArrow(lean(run), schema)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 
 from . import wordarrays as wa
 from .exchange import ASK_SCHEMA, answered, ask_batch, ask_rows, blocks, join_payload, keyed, n_groups, pack, stable, unpack
-from .shared import cut, discard
+from .shared import WORK_BYTES, chunks, cut, discard, lean
 
 WINDOW = 35
 GRAM = 10
@@ -149,20 +149,23 @@ def candidates(rows: DataFrame, window: int, gram: int, depth: int) -> DataFrame
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, part in blocks(batches):
-            words = wa.Words(part.column("text").to_pylist())
-            start, text, anchor, grams = anchored(words, window, gram)
-            a, b = anchor_runs(start, text, anchor)
-            if not len(a):
+            texts, got = part.column("text").to_pylist(), []
+            for lo, hi in chunks([len(t or "") for t in texts], WORK_BYTES):
+                words = wa.Words(texts[lo:hi])
+                start, text, anchor, grams = anchored(words, window, gram)
+                a, b = anchor_runs(start, text, anchor)
+                if len(a):
+                    got.append((grams[anchor[a]], start[a] - words.first[text[a]], b - a, text[a] + lo))
+            if not got:
                 continue
-            keys = grams[anchor[a]]
-            where = start[a] - words.first[text[a]]
+            keys, where, size, text = (np.concatenate([g[i] for g in got]) for i in range(4))
             # Entries are keys, sent once; the directory maps each run to its key's entry.
             first, _ = local_counts(keys)
             _, entry = np.unique(keys, return_inverse=True)
             rank = np.empty(int(first.sum()), np.int64)
             rank[entry[first]] = np.arange(int(first.sum()))
             k1, k2 = long_arrays(part)
-            directory = pack(k1, k2, text[a].astype(np.uint16), where.astype(np.uint32), (b - a).astype(np.uint16), rank[entry].astype(np.uint32))
+            directory = pack(k1, k2, text.astype(np.uint16), where.astype(np.uint32), size.astype(np.uint16), rank[entry].astype(np.uint32))
             yield sketch_asks(block, keys, groups, depth, directory)
 
     def combine(directory: bytes, answers: list[bytes]) -> pa.RecordBatch:
@@ -171,7 +174,7 @@ def candidates(rows: DataFrame, window: int, gram: int, depth: int) -> DataFrame
         a = where[hit].astype(np.int64)
         return found_batch(k1, k2, text[hit], a, a + n[hit])
 
-    asks = rows.select("k1", "k2", "text").mapInArrow(ask, ASK_SCHEMA)
+    asks = rows.select("k1", "k2", "text").mapInArrow(lean(ask), ASK_SCHEMA)
     return answered(asks, merge_sketch, combine, FOUND_SCHEMA)
 
 
@@ -249,7 +252,7 @@ def repeated(rows: DataFrame, found: DataFrame, window: int, gram: int) -> DataF
         text, where = (np.concatenate([g[i] for g in got]).astype(np.int64) for i in range(2))
         return found_batch(k1, k2, text, where, where + 1)
 
-    asks = join_payload(rows.select("k1", "k2", "text"), found, "ranges", "inner").mapInArrow(ask, ASK_SCHEMA)
+    asks = join_payload(rows.select("k1", "k2", "text"), found, "ranges", "inner").mapInArrow(lean(ask), ASK_SCHEMA)
     return answered(asks, merge, combine, FOUND_SCHEMA).dropDuplicates(["k1", "k2"])
 
 
@@ -296,7 +299,7 @@ def remove_repeats(
             types = [pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), *(pa.array(c, t) for c, t in zip(columns, types, strict=False))], names=names)
 
-    return join_payload(rows, found, "ranges", "left").select("id", "text", "ranges").mapInArrow(run, schema)
+    return join_payload(rows, found, "ranges", "left").select("id", "text", "ranges").mapInArrow(lean(run), schema)
 
 
 _TO_SPACE = bytes(0x20 if wa.SPACE[b] else b for b in range(256))

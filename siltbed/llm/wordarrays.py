@@ -20,7 +20,9 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 #: Window minima are taken over tiles of this many positions; 24 bits hold a position in a tile.
-TILE = 1 << 18
+TILE = 1 << 16
+#: Powers kept in memory, 8 MB for each base.
+KEPT_POWERS = 1 << 19
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -32,9 +34,8 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-@lru_cache(maxsize=8)
-def _powers_up_to(bits: int, base: int) -> tuple[np.ndarray, np.ndarray]:
-    n, b = 1 << bits, _BASES[base]
+def _power_arrays(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+    b = _BASES[base]
     out = []
     for factor in (b, pow(b, -1, 1 << 64)):
         p = np.full(n, factor, U)
@@ -43,8 +44,14 @@ def _powers_up_to(bits: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+_kept_powers = lru_cache(maxsize=3)(lambda base: _power_arrays(KEPT_POWERS, base))
+
+
 def powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
-    p, q = _powers_up_to(max(16, int(n).bit_length()), base)
+    """The first n powers of a base and of its inverse; only short ones are kept."""
+    if n > KEPT_POWERS:
+        return _power_arrays(n, base)
+    p, q = _kept_powers(base)
     return p[:n], q[:n]
 
 
