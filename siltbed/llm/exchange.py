@@ -102,7 +102,8 @@ def _one(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
 
 def ask_rows(block: int, group: np.ndarray, directory: bytes, *entries: np.ndarray) -> pa.RecordBatch:
     """The directory row and one row per group with that group's entries, in their order."""
-    order = np.argsort(group.astype(np.uint32), kind="stable")
+    short = np.uint16 if not len(group) or group.max() < 1 << 16 else np.uint32  # 16-bit keys are sorted by radix
+    order = np.argsort(group.astype(short), kind="stable")
     group = group[order]
     cut_at = np.flatnonzero(np.diff(group)) + 1
     lo = np.concatenate([[0], cut_at]) if len(group) else np.zeros(0, np.int64)

@@ -233,7 +233,7 @@ def _counted(rows: DataFrame, shingle: int) -> DataFrame:
             use = place < length[text]
             h, text = h[use], text[use]
             # A shingle held twice in the block is known to repeat; it is sent once, with a mark.
-            order = np.argsort(h, kind="stable")
+            order = np.argsort(h)
             s = h[order]
             again = np.zeros(len(s), bool)
             again[1:] = s[1:] == s[:-1]
@@ -253,7 +253,7 @@ def _counted(rows: DataFrame, shingle: int) -> DataFrame:
     def merge(block: list[int], bodies: list[bytes]) -> list[bytes | None]:
         parts = [unpack(b, np.uint32, np.uint16) for b in bodies]
         cell, who = (np.concatenate([p[i] for p in parts]) for i in range(2))
-        order = np.argsort(cell, kind="stable")
+        order = np.argsort(cell)
         s = cell[order]
         new = np.concatenate([[0], np.flatnonzero(s[1:] != s[:-1]) + 1])
         count = np.add.reduceat(1 + (who[order] == MARK).astype(np.int64), new)
@@ -354,7 +354,7 @@ def _open_lists(reps: DataFrame) -> DataFrame:
     def frequencies(block: list[int], bodies: list[bytes]) -> list[bytes | None]:
         parts = [unpack(b, np.uint32, np.uint32) for b in bodies]
         cell = np.concatenate([p[0] for p in parts])
-        order = np.argsort(cell, kind="stable")
+        order = np.argsort(cell)
         s = cell[order]
         new = np.concatenate([[0], np.flatnonzero(s[1:] != s[:-1]) + 1])
         times = np.diff(np.concatenate([new, [len(s)]]))

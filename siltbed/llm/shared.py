@@ -43,8 +43,8 @@ _trimmed = [0.0]
 
 
 def trim() -> None:
-    """Give freed memory back to the system, so that idle workers stay small; at most once in two seconds."""
-    if time.monotonic() - _trimmed[0] < 2:
+    """Give freed memory back to the system, so that idle workers stay small; at most twice a second."""
+    if time.monotonic() - _trimmed[0] < 0.5:
         return
     pa.default_memory_pool().release_unused()
     try:

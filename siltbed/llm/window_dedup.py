@@ -64,9 +64,12 @@ def cells(keys: np.ndarray, row: int, groups: int) -> tuple[np.ndarray, np.ndarr
     return ((h >> wa.U(33)) % wa.U(groups)).astype(np.int64), (h & wa.U(0xFFFFFFFF)).astype(np.uint32)
 
 
-def local_counts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each entry: whether it is its key's first, and whether the key occurs again."""
-    order = np.argsort(keys, kind="stable")
+def local_counts(keys: np.ndarray, in_order: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """For each entry: whether it stands for its key, and whether the key occurs again.
+
+    One entry stands for each key, always the same one; the first with ``in_order``, which takes longer.
+    """
+    order = np.argsort(keys, kind="stable" if in_order else None)
     s = keys[order]
     same = s[1:] == s[:-1]
     again, later = np.zeros(len(s), bool), np.zeros(len(s), bool)
@@ -99,7 +102,7 @@ def merge_sketch(block: list[int], bodies: list[bytes]) -> list[bytes | None]:
     parts = [unpack(b, np.uint32, np.uint8, np.uint8, np.uint32) for b in bodies]
     cell = np.concatenate([p[0].astype(np.uint64) << wa.U(8) | p[1] for p in parts])
     extra = np.concatenate([p[2] for p in parts])
-    order = np.argsort(cell, kind="stable")
+    order = np.argsort(cell)
     s = cell[order]
     new = np.concatenate([[0], np.flatnonzero(s[1:] != s[:-1]) + 1])
     count = np.add.reduceat(1 + extra[order].astype(np.int64), new)
@@ -197,7 +200,7 @@ def repeated(rows: DataFrame, found: DataFrame, window: int, gram: int) -> DataF
             key = grams[anchor]
             own = wa.rolling(words.hash, window, 2)[start]
             # Inside the block: later copies are answered here, the first is sent with a mark.
-            first, again = local_counts(wa.mix(key ^ wa.U(_SEEDS[2])) + own)
+            first, again = local_counts(wa.mix(key ^ wa.U(_SEEDS[2])) + own, in_order=True)
             k1, k2 = long_arrays(part)
             where = start - words.first[text]
             directory = pack(k1, k2, text[again].astype(np.uint16), where[again].astype(np.uint32))
@@ -231,7 +234,7 @@ def repeated(rows: DataFrame, found: DataFrame, window: int, gram: int) -> DataF
         key = np.concatenate([np.repeat(p[0], m) for p, m in zip(parts, n, strict=True)])
         extra = np.concatenate([np.repeat(p[4], m) for p, m in zip(parts, n, strict=True)])
         own = np.concatenate([p[5] for p in parts])
-        order = np.argsort(own + wa.mix(key), kind="stable")
+        order = np.argsort(own + wa.mix(key))
         k, o = key[order], own[order]
         new = np.concatenate([[0], np.flatnonzero((k[1:] != k[:-1]) | (o[1:] != o[:-1])) + 1])
         count = np.add.reduceat(1 + extra[order].astype(np.int64), new)
