@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from siltbed.llm import components, jaccard_join, line_dedup, suffix_dedup, window_dedup
 from siltbed.llm import wordarrays as wa
 
-from .fixture import LOWER, clashing, documents, empty, rows, unique, words
+from .fixture import LOWER, SCHEMA, clashing, documents, empty, rows, unique, words
 
 
 def sha(data: bytes) -> str:
@@ -202,6 +202,19 @@ def test_lines(spark):
         assert (r.text is None) == (text is None)
 
 
+def test_lines_with_small_buckets(spark, monkeypatch):
+    """Keys that are cut into parts lose no link, also where lines hang together by single links."""
+    monkeypatch.setattr(line_dedup, "BUCKET", 2)
+    r = random.Random(1)
+    chain = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(60)]
+    lines = [" ".join(chain[k : k + 12]) for k in range(49)]
+    own = [(k, x, None, None, 0) for k, x in enumerate(r.sample(lines, 49))]
+    want = brute_lines(own)
+    assert sum(want.values()) == 48
+    got = line_dedup.line_report(spark.createDataFrame(own, SCHEMA).repartition(2)).collect()
+    assert sum(r.n_removed != want[r.doc_id] for r in got) == 0
+
+
 def test_lines_of_odd_rows(spark):
     got = line_dedup.line_report(documents(spark)).collect()
     assert Counter(r.doc_id for r in got) == Counter(i for i, *_ in rows())
