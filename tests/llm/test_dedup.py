@@ -215,6 +215,15 @@ def test_lines_with_small_buckets(spark, monkeypatch):
     assert sum(r.n_removed != want[r.doc_id] for r in got) == 0
 
 
+def test_lines_of_39_characters_bear_a_typo():
+    line = "the quick brown fox jumps over lazy dog"
+    typo = line[:19] + "#" + line[20:]
+    five = [{x[i : i + 5] for i in range(35)} for x in (line, typo)]
+    assert len(line) == 39 and 100 * len(five[0] & five[1]) >= 75 * len(five[0] | five[1])
+    assert line_dedup.near(line_dedup.shingles(line), line_dedup.shingles(typo))
+    assert line_dedup.Shingled({0: line, 1: typo}).near(0, 1)
+
+
 def test_lines_of_odd_rows(spark):
     got = line_dedup.line_report(documents(spark)).collect()
     assert Counter(r.doc_id for r in got) == Counter(i for i, *_ in rows())
