@@ -408,14 +408,15 @@ def _open_lists(reps: DataFrame) -> DataFrame:
                 if len(own):
                     out[own.tobytes()] = int(own[0])
                 continue
-            # Parts by size; a pair of parts is joined if its sizes allow a link.
+            # Parts by size; a pair of parts is joined if its sizes allow a link, and a part in no pair by itself.
             edges = [*range(a, b, LIST // 2 if b - a > LIST else b - a), b]
             spans = list(zip(edges[:-1], edges[1:], strict=True))
-            for i, (p, q) in enumerate(spans):
-                for r, s in spans[i + 1 :] if len(spans) > 1 else [(q, q)]:
-                    if r == s or 100 * n[q - 1] >= PERCENT * n[r]:
-                        own = np.sort(np.concatenate([node[p:q], node[r:s]]))
-                        out[own.tobytes()] = int(wa.mix(h[a : a + 1] + wa.U(i << 20 | r)).view(np.int64)[0])
+            pairs = [(i, j) for i, (_, q) in enumerate(spans) for j in range(i + 1, len(spans)) if 100 * n[q - 1] >= PERCENT * n[spans[j][0]]]
+            paired = {i for pair in pairs for i in pair}
+            for i, j in pairs + [(i, i) for i in range(len(spans)) if i not in paired]:
+                (p, q), (r, s) = spans[i], spans[j]
+                own = np.sort(node[p:q] if i == j else np.concatenate([node[p:q], node[r:s]]))
+                out[own.tobytes()] = int(wa.mix(h[a : a + 1] + wa.U(i << 20 | r)).view(np.int64)[0])
         return pa.table({"key": pa.array(list(out.values()), pa.int64()), "members": pa.array(list(out), pa.binary())})
 
     asks = reps.select("node", "comp", "n", "tokens").mapInArrow(lean(ask), ASK_SCHEMA)

@@ -130,6 +130,22 @@ def test_near_duplicates_with_small_limits(spark, monkeypatch, limits):
     assert {tuple(r) for r in jaccard_join.near_duplicates(docs).collect()} == brute_near(own)
 
 
+def test_parts_of_a_list_between_size_jumps(spark, monkeypatch):
+    """A part whose sizes are far from all other parts' is joined by itself."""
+    monkeypatch.setattr(jaccard_join, "LIST", 600)
+    table = []
+    for g, size in enumerate((40, 60, 90)):  # each group is one part; all share the shingles of their prefixes
+        for k in range(300):
+            node = 300 * g + k
+            own = [*range(1, 31), *range(10_000 * (g + 1), 10_000 * (g + 1) + size - 32), 10**6 + 2 * node, 10**6 + 2 * node + 1]
+            table.append((node, node, size, bytearray(np.array(own, np.uint64).tobytes())))
+    reps = spark.createDataFrame(table, "node long, comp long, n long, tokens binary")
+    u = Union(900)
+    for r in jaccard_join._list_links(jaccard_join._open_lists(reps), reps).collect():
+        u.join(r.a, r.b)
+    assert [u.find(i) for i in range(900)] == [i // 300 * 300 for i in range(900)]
+
+
 def test_near_duplicates_of_odd_rows(spark):
     got = jaccard_join.near_duplicates(documents(spark)).collect()
     assert Counter(r.doc_id for r in got) == Counter(i for i, *_ in rows())
