@@ -222,11 +222,11 @@ def test_lines_with_small_buckets(spark, monkeypatch):
     """Keys that are cut into parts lose no link, also where lines hang together by single links."""
     monkeypatch.setattr(line_dedup, "BUCKET", 2)
     r = random.Random(1)
-    chain = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(60)]
-    lines = [" ".join(chain[k : k + 12]) for k in range(49)]
-    own = [(k, x, None, None, 0) for k, x in enumerate(r.sample(lines, 49))]
+    chains = [["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(60)] for _ in range(5)]
+    lines = [" ".join(c[k : k + 12]) for c in chains for k in range(49)]
+    own = [(k, x, None, None, 0) for k, x in enumerate(r.sample(lines, 245))]
     want = brute_lines(own)
-    assert sum(want.values()) == 48
+    assert sum(want.values()) == 5 * 48
     got = line_dedup.line_report(spark.createDataFrame(own, SCHEMA).repartition(2)).collect()
     assert sum(r.n_removed != want[r.doc_id] for r in got) == 0
 
