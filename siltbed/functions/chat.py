@@ -3,10 +3,16 @@
 A record is a JSON string (or is built from columns by ``turns_to_record``).
 Parsing uses VARIANT, which refuses what strict JSON refuses except for text
 after the value and repeated keys (those give null).
+
+Functions of a record take its column, or a ``Record``: ``with_record`` stores a
+record's parse and lists in columns of a projection of their own, which several
+expressions then share.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,8 +47,50 @@ HISTORY_USER, HISTORY_ASSISTANT = "【user】：", "【AI assistant】："
 MESSAGES = "array<struct<role:string,content:string>>"
 
 
-def parsed(record: Column) -> Column:
-    return F.try_parse_json(record)
+@dataclass(frozen=True)
+class Record:
+    """A parsed record in columns named after ``name``."""
+
+    name: str
+    profile: str
+
+    @property
+    def text(self) -> Column:
+        return F.col(self.name)
+
+    @property
+    def variant(self) -> Column:
+        return F.col(f"_{self.name}_v")
+
+    @property
+    def lists(self) -> list[Column]:
+        return [F.col(f"_{self.name}_{k}") for k in CONVERSATION_KEYS]
+
+    @property
+    def messages(self) -> Column:
+        return F.col(f"_{self.name}_said")
+
+    @property
+    def columns(self) -> list[str]:
+        """The names of the columns added, for ``drop``."""
+        return [f"_{self.name}_{k}" for k in ("v", *CONVERSATION_KEYS, "raw", "said")]
+
+
+def with_record(df: DataFrame, name: str = "orig", profile: str = "generate") -> tuple[DataFrame, Record]:
+    """``df`` with the parse of a column, its lists under conversation keys, and its messages; each is made once a row."""
+    r = Record(name, profile)
+    out = df.withColumn(f"_{name}_v", F.try_parse_json(F.col(name)))
+    out = out.withColumns({f"_{name}_{k}": _list(r.variant, k) for k in CONVERSATION_KEYS})
+    out = out.withColumn(f"_{name}_raw", raw_messages(r, profile))
+    return out.withColumn(f"_{name}_said", _normalised(F.col(f"_{name}_raw"), profile)), r
+
+
+def parsed(record: Column | Record) -> Column:
+    return record.variant if isinstance(record, Record) else F.try_parse_json(record)
+
+
+def _lists(record: Column | Record) -> list[Column]:
+    return record.lists if isinstance(record, Record) else [_list(parsed(record), k) for k in CONVERSATION_KEYS]
 
 
 def _get(v: Column, key: str, kind: str = "string") -> Column:
@@ -74,14 +122,13 @@ def canonical_role(role: Column, profile: str = "generate") -> Column:
     return out.when(name.isin(*SYSTEM_NAMES), "system").otherwise(name)
 
 
-def raw_messages(record: Column, profile: str = "generate") -> Column:
+def raw_messages(record: Column | Record, profile: str = "generate") -> Column:
     """The list of messages as variants, or null.
 
     generate: the first conversation key with a list that is not empty, or a single message.
     judge: the record itself if it is a list, or the first key that holds a list, even an empty one.
     """
-    v = parsed(record)
-    lists = [_list(v, k) for k in CONVERSATION_KEYS]
+    v, lists = parsed(record), _lists(record)
     if profile == "judge":
         return F.coalesce(F.try_variant_get(v, "$", "array<variant>"), *lists)
     single = F.when(
@@ -91,15 +138,20 @@ def raw_messages(record: Column, profile: str = "generate") -> Column:
     return F.coalesce(*[F.when(F.size(x) > 0, x) for x in lists], single)
 
 
-def messages(record: Column, profile: str = "generate") -> Column:
-    """Normalised messages of a record; items without content are dropped, bare strings have role ''."""
-
+def _normalised(items: Column, profile: str) -> Column:
     def item(x: Column) -> Column:
         bare = F.when(F.schema_of_variant(x) == "STRING", F.try_variant_get(x, "$", "string"))
         role = F.coalesce(canonical_role(_field(x, ROLE_KEYS), profile), F.lit(""))
         return F.struct(role.alias("role"), F.coalesce(_field(x, CONTENT_KEYS), bare).alias("content"))
 
-    return F.filter(F.transform(raw_messages(record, profile), item), lambda m: m["content"].isNotNull())
+    return F.filter(F.transform(items, item), lambda m: m["content"].isNotNull())
+
+
+def messages(record: Column | Record, profile: str = "generate") -> Column:
+    """Normalised messages of a record; items without content are dropped, bare strings have role ''."""
+    if isinstance(record, Record) and record.profile == profile:
+        return record.messages
+    return _normalised(raw_messages(record, profile), profile)
 
 
 def last_content(msgs: Column, role: str) -> Column:
@@ -107,7 +159,7 @@ def last_content(msgs: Column, role: str) -> Column:
     return F.try_element_at(F.filter(msgs, lambda m: m["role"] == role), F.lit(-1))["content"]
 
 
-def record_text(record: Column, field: str = "prompt", profile: str = "generate") -> Column:
+def record_text(record: Column | Record, field: str = "prompt", profile: str = "generate") -> Column:
     """The last user (prompt) or assistant (response) text of a record.
 
     Without a conversation: a single message or the first known field.  A string
@@ -123,9 +175,10 @@ def record_text(record: Column, field: str = "prompt", profile: str = "generate"
         mine = F.when(canonical_role(_get(v, "role"), profile) == role, _get(v, "content"))
         structured = F.when(F.size(msgs) > 0, last_content(msgs, role)).when(own_role, mine).otherwise(plain)
     else:
-        found = F.coalesce(F.greatest(*[F.size(_list(v, k)) > 0 for k in CONVERSATION_KEYS]), F.lit(False))
+        found = F.coalesce(F.greatest(*[F.size(x) > 0 for x in _lists(record)]), F.lit(False))
         structured = F.when(found, last_content(msgs, role)).when(own_role, _get(v, "content")).otherwise(plain)
-    whole = record if field == "prompt" or profile == "generate" else F.lit(None).cast("string")
+    own = record.text if isinstance(record, Record) else record
+    whole = own if field == "prompt" or profile == "generate" else F.lit(None).cast("string")
     return F.when(v.isNull(), whole).otherwise(structured)
 
 
@@ -147,10 +200,20 @@ def pair_text(pair: Column) -> Column:
     return F.when(joined != "", joined)
 
 
-def row_text(df: DataFrame, field: str = "prompt") -> Column:
+def with_row_records(df: DataFrame) -> tuple[DataFrame, list[Record]]:
+    """``df`` with the parses of the columns that ``row_text`` reads."""
+    records = []
+    for c in ("messages", "orig"):
+        if c in df.columns:
+            df, r = with_record(df, c, "judge")
+            records.append(r)
+    return df, records
+
+
+def row_text(df: DataFrame, field: str = "prompt", parsed_records: list[Record] | None = None) -> Column:
     """The text that a judge reads of a row: messages, then orig, then plain columns."""
     have = set(df.columns)
-    records = [df[c] for c in ("messages", "orig") if c in have]
+    records = parsed_records if parsed_records is not None else [df[c] for c in ("messages", "orig") if c in have]
     plain = lambda names: F.coalesce(*[df[c].cast("string") for c in names if c in have], F.lit(None).cast("string"))
     if field == "last_turn":
         pairs = [pair_text(last_pair(messages(r, "judge"))) for r in records]
@@ -167,7 +230,7 @@ def user_turns(msgs: Column) -> Column:
     return F.when(F.size(mine) > 0, F.array_join(F.transform(mine, label), "\n"))
 
 
-def embedding_text(record: Column, all_turns: bool = False) -> Column:
+def embedding_text(record: Column | Record, all_turns: bool = False) -> Column:
     """The text that is embedded: user turns of conversations, overridden by those of messages, then fields."""
     v = parsed(record)
 
@@ -180,7 +243,7 @@ def embedding_text(record: Column, all_turns: bool = False) -> Column:
     return F.coalesce(turns("messages"), turns("conversations"), first_filled(*[_get(v, k) for k in INSTRUCTION_FIELDS + PLAIN_FIELDS]))
 
 
-def model_messages(record: Column, max_turns: int = 0, max_chars: int = 4000) -> Column:
+def model_messages(record: Column | Record, max_turns: int = 0, max_chars: int = 4000) -> Column:
     """Messages for a chat model: the last ``max_turns`` items, roles mapped (others are users), cut, blanks dropped."""
     items = raw_messages(record)
     if max_turns > 0:
@@ -194,7 +257,7 @@ def model_messages(record: Column, max_turns: int = 0, max_chars: int = 4000) ->
     return F.filter(F.transform(items, item), lambda m: m["role"].isNotNull() & (m["content"] != ""))
 
 
-def history_prompt(record: Column, base: str = "") -> Column:
+def history_prompt(record: Column | Record, base: str = "") -> Column:
     """One prompt with the whole history; the dialect (role/content or from/value) is the first message's."""
     items = F.coalesce(raw_messages(record), raw_messages(record, "judge"))
     first = F.try_element_at(items, F.lit(1))
@@ -210,7 +273,7 @@ def history_prompt(record: Column, base: str = "") -> Column:
     return F.concat(F.lit(base), F.array_join(F.transform(items, said), ""))
 
 
-def last_item_content(record: Column) -> Column:
+def last_item_content(record: Column | Record) -> Column:
     """Content of the last item under ``conversations``, whatever its role; null where there is none."""
     return _get(F.try_element_at(_get(parsed(record), "conversations", "array<variant>"), F.lit(-1)), "content")
 

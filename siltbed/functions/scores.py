@@ -97,11 +97,18 @@ def score_of(text: str | None, failures_count: bool = False) -> float | None:
 
 
 def score(text: Column, failures_count: bool = False) -> Column:
+    """The full rule.  Only texts that expressions cannot decide, those with a brace or beyond ASCII, go through Python.
+
+    The function counts as nondeterministic, so a filter on the score does not evaluate it again.
+    """
+
     @F.pandas_udf("double")
     def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: score_of(x, failures_count)).astype("float64")
+        return s.map(lambda x: None if x is None else score_of(x, failures_count)).astype("float64")
 
-    return run(text)
+    hard = F.contains(text, F.lit("{")) | text.rlike(r"[^\x00-\x7F]|[\x1c-\x1f]")
+    read = run.asNondeterministic()(F.when(hard, text))
+    return F.when(hard, read).otherwise(native_score(text, failures_count))
 
 
 def bracket_score(text: Column) -> Column:

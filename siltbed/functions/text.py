@@ -7,14 +7,14 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: White space as Python's ``str.strip`` sees it: Unicode spaces and the four separators 1C to 1F.
-_EDGE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+#: White space as Python's ``str.strip`` sees it.
+_SPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 MAX_CHARS = 4000
 CUT_MARK = "...(truncated)"
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, _EDGE, "")
+    return F.btrim(text, F.lit(_SPACE))
 
 
 def blank(text: Column) -> Column:

@@ -13,6 +13,7 @@ import random
 import time
 import urllib.error
 import urllib.request
+from collections import Counter
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -28,6 +29,7 @@ from ..functions.scores import FAILED_PREFIX
 # Sampling settings of judge calls.
 JUDGE_MAX_TOKENS = 12000
 REPETITION_PENALTY = 1.05
+JUDGE_STOPS = ("<|eot_id|>", "<|im_end|>", "</s>", "<|endoftext|>", "</answer>")
 
 
 @dataclass(frozen=True)
@@ -124,6 +126,11 @@ class ChatClient:
         return Reply(text, usage.get("prompt_tokens"), usage.get("completion_tokens"))
 
 
+def judge_client(pool: EndpointPool, model: str, **settings) -> ChatClient:
+    """A chat client with the settings of judge calls: temperature 0, the judge's stop tokens and length."""
+    return ChatClient(pool, model, **({"temperature": 0.0, "max_tokens": JUDGE_MAX_TOKENS, "stop": JUDGE_STOPS} | settings))
+
+
 @dataclass(frozen=True)
 class TextClient:
     """An endpoint that takes {"text"} and answers under one of a few keys."""
@@ -175,6 +182,7 @@ def call_model(df: DataFrame, key: Column, messages: Column, client: Client, thr
     """Adds a struct (status, text, prompt_tokens, completion_tokens); rows with null or empty messages get null.
 
     ``messages`` is array<struct<role, content>>.  Calls of a batch run on ``threads`` threads and keep their order.
+    The function counts as nondeterministic, so the optimiser evaluates it once for each row.
     """
 
     @F.pandas_udf(REPLY)
@@ -187,7 +195,7 @@ def call_model(df: DataFrame, key: Column, messages: Column, client: Client, thr
                 frame = pd.DataFrame(rows, columns=["status", "text", "prompt_tokens", "completion_tokens"])
                 yield frame.astype({"prompt_tokens": "Int64", "completion_tokens": "Int64"})
 
-    got = df.withColumn("_r", run(key.cast("string"), messages))
+    got = df.withColumn("_r", run.asNondeterministic()(key.cast("string"), messages))
     return got.withColumn(out, F.when(F.col("_r.status").isNotNull(), F.col("_r"))).drop("_r")
 
 
@@ -207,10 +215,12 @@ def generate(df: DataFrame, key: Column, messages: Column, client: Client, sampl
     """Adds ``samples`` answers as an array in slot order; rows without input get an empty array.
 
     ``slots`` limits the calls to some slots (others are null): a repair pass.
+    Rows that share a key name the same request: it is made once, and all of them get its answers.
     """
     every = F.array(*[F.lit(i) for i in range(samples)])
     keyed = df.withColumns({"_key": key.cast("string"), "_messages": messages})
-    todo = keyed.select("_key", "_messages", F.explode(slots if slots is not None else every).alias("_slot")).where(F.size("_messages") > 0)
+    once = keyed.select("_key", "_messages", (slots if slots is not None else every).alias("_slots")).where(F.size("_messages") > 0).dropDuplicates(["_key"])
+    todo = once.select("_key", "_messages", F.explode(F.array_distinct("_slots")).alias("_slot"))
     called = call_model(todo, F.concat_ws("/", "_key", "_slot"), F.col("_messages"), client, **options)
     # At most ``samples`` rows for a key.
     per_row = called.groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("_slot", F.col("reply.text")))).alias("_got"))
@@ -225,16 +235,19 @@ class Embedder(Protocol):
 
 @dataclass(frozen=True)
 class HashEmbedder:
-    """Offline vectors: signed hashed character trigrams."""
+    """Offline vectors: signed hashed character trigrams.
+
+    Of a trigram's MD5, the first eight hex digits pick the place and the ninth the sign.
+    """
 
     dim: int = 64
 
     def embed(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), self.dim), np.float32)
         for i, t in enumerate(texts):
-            for k in range(max(1, len(t) - 2)):
-                h = int.from_bytes(hashlib.blake2b(t[k : k + 3].encode(), digest_size=8).digest(), "little")
-                out[i, h % self.dim] += 1.0 if h >> 63 else -1.0
+            for gram, n in Counter(t[k : k + 3] for k in range(max(1, len(t) - 2))).items():
+                h = hashlib.md5(gram.encode()).hexdigest()
+                out[i, int(h[:8], 16) % self.dim] += n if h[8] >= "8" else -n
         return out
 
 

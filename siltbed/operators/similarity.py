@@ -2,9 +2,12 @@
 
 Both sides are packed into blocks of vectors.  If the database side is small
 (its size is counted first), each query block meets it as a broadcast; else
-every pair of blocks is one row of a task table, so memory holds two blocks at a
-time.  Each pair of blocks yields each query's best k, and these are merged by
-query; no pair of single rows is ever emitted.
+blocks are dealt to groups of ``GROUP_BYTES``, and each pair of groups is one
+task.  With g groups a side, each side is shuffled g times, so a task table of n
+bytes moves n * n / GROUP_BYTES bytes (half of it for a table with itself); the
+products grow with the square of the rows, as exact search does.  Each pair of
+blocks yields each query's best k, and these are merged by query; no pair of
+single rows is ever emitted.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from pyspark.sql.window import Window
 BLOCK = 4096
 #: The database side is broadcast up to this many bytes of vectors.
 BROADCAST_BYTES = 32 << 20
+#: Bytes of vectors of one side that a task holds beyond that.
+GROUP_BYTES = 256 << 20
 
 
 def with_unit_vectors(df: DataFrame, vector_col: str = "embedding", out: str = "unit") -> DataFrame:
@@ -44,32 +49,57 @@ def parsed_vectors(df: DataFrame, candidates: tuple[str, ...] = ("embedding", "e
     return df.withColumn("embedding", F.coalesce(*read)).drop(*[c for c in have if c != "embedding"]).where(F.col("embedding").isNotNull())
 
 
-def _packed(df: DataFrame, id_col: str, vector_col: str, blocks: int) -> DataFrame:
-    """(block, ids, vectors): unit vectors of a block as one binary of doubles."""
-    rows = df.where(F.col(vector_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+def _readable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """(id, v): rows whose vector has no missing number."""
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    return rows.where(F.col("v").isNotNull() & (F.size("v") > 0) & ~F.exists("v", lambda x: x.isNull() | F.isnan(x)))
+
+
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length as rows over their norms, from the flat values of a list column."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    v = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.zeros((0, 1))
+    norm = np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]
+    return v / np.where(norm == 0, 1.0, norm)
+
+
+def _packed(rows: DataFrame, blocks: int) -> DataFrame:
+    """(block, ids, vectors): unit vectors of a block as one binary of doubles, ids ascending."""
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
 
     def run(table: pa.Table) -> pa.Table:
-        order = np.argsort(table.column("id").to_numpy(), kind="stable")
-        v = np.array(table.column("v").to_pylist(), np.float64)[order]
-        norm = np.linalg.norm(v, axis=1, keepdims=True)
-        norm[norm == 0] = 1.0
-        ids = table.column("id").to_numpy()[order]
-        return pa.table({"block": table.column("block").slice(0, 1), "ids": pa.array([ids.tobytes()], pa.binary()), "vectors": pa.array([(v / norm).tobytes()], pa.binary())})
+        ids = table.column("id").to_numpy()
+        order = np.argsort(ids, kind="stable")
+        unit = _matrix(table.column("v"))[order]
+        return pa.table({"block": table.column("block").slice(0, 1), "ids": pa.array([ids[order].tobytes()], pa.binary()), "vectors": pa.array([unit.tobytes()], pa.binary())})
 
     return rows.groupBy("block").applyInArrow(run, "block long, ids binary, vectors binary")
 
 
 def _best(q_ids: np.ndarray, q: np.ndarray, d_ids: np.ndarray, d: np.ndarray, k: int, exclude_self: bool) -> tuple[np.ndarray, ...]:
-    """(query id, match id, similarity) of each query's best k; the smallest id first among equals."""
+    """(query id, match id, similarity) of each query's best k; the smallest id first among equals (``d_ids`` ascend)."""
     sims = np.round(q @ d.T, 12)  # equal vectors tie whatever the order of additions
     if exclude_self:
         sims[q_ids[:, None] == d_ids[None, :]] = -np.inf
     k = min(k, len(d_ids))
-    order = np.argsort(-sims, axis=1, kind="stable")[:, :k]  # d_ids ascend, so ties keep the smaller id
-    top = np.take_along_axis(sims, order, 1)
-    keep = np.isfinite(top).ravel()
-    return np.repeat(q_ids, k)[keep], d_ids[order].ravel()[keep], top.ravel()[keep]
+    if k == 1:
+        row, at = np.arange(len(q_ids)), sims.argmax(1)
+    else:
+        # All that reach the k-th best similarity, then the first k of each row in order.
+        least = np.partition(sims, len(d_ids) - k, axis=1)[:, len(d_ids) - k]
+        row, at = np.nonzero(sims >= least[:, None])
+        order = np.lexsort((at, -sims[row, at], row))
+        row, at = row[order], at[order]
+        first = np.searchsorted(row, np.arange(len(q_ids)))
+        use = np.arange(len(row)) - first[row] < k
+        row, at = row[use], at[use]
+    top = sims[row, at]
+    keep = np.isfinite(top)
+    return q_ids[row][keep], d_ids[at][keep], top[keep]
+
+
+def _found(*parts: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([p[i] for p in parts])) for i in range(3)], names=["query_id", "match_id", "sim"])
 
 
 RESULT = "query_id long, match_id long, sim double"
@@ -84,53 +114,68 @@ def nearest(
     exclude_self: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
     block: int = BLOCK,
+    group_bytes: int = GROUP_BYTES,
 ) -> DataFrame:
-    """(query_id, match_id, sim, rank): the k most similar database rows of each query."""
-    n, dim = database.where(F.col(vector_col).isNotNull()).agg(F.count("*"), F.max(F.size(vector_col))).first()
+    """(query_id, match_id, sim, rank): the k most similar database rows of each query.
+
+    Null and empty vectors, and vectors that hold a null or NaN, are left out.
+    Vectors of unlike lengths raise ``ValueError``.
+    """
     spark = database.sparkSession
-    if not n:
+    same = queries is database
+    side = _readable(database, id_col, vector_col)
+    asked = side if same else _readable(queries, id_col, vector_col)
+    measure = [F.count("*"), F.min(F.size("v")), F.max(F.size("v"))]
+    n, low, high = side.agg(*measure).first()
+    q_n, q_low, q_high = (n, low, high) if same else asked.agg(*measure).first()
+    if not n or not q_n:
         return spark.createDataFrame([], RESULT + ", rank int")
-    d_blocks = max(1, -(-n // block))
-    packed = _packed(database, id_col, vector_col, d_blocks)
+    if len({low, high, q_low, q_high}) > 1:
+        raise ValueError(f"vectors of {min(low, q_low)} to {max(high, q_high)} numbers cannot be compared")
 
     def arrays(ids: bytes, vectors: bytes) -> tuple[np.ndarray, np.ndarray]:
         i = np.frombuffer(ids, np.int64)
         return i, np.frombuffer(vectors, np.float64).reshape(len(i), -1)
 
-    if n * (dim or 1) * 8 <= broadcast_bytes:
+    d_blocks = max(1, -(-n // block))
+    packed = _packed(side, d_blocks)
+    if n * high * 8 <= broadcast_bytes:
         # The size is known to be small, so the blocks may meet on the driver.
-        side = spark.sparkContext.broadcast([(r["ids"], r["vectors"]) for r in packed.collect()])
+        sent = spark.sparkContext.broadcast([(bytes(r["ids"]), bytes(r["vectors"])) for r in packed.collect()])
 
         def against(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            parts = [arrays(bytes(i), bytes(v)) for i, v in side.value]
+            parts = [arrays(i, v) for i, v in sent.value]
             ids = np.concatenate([p[0] for p in parts])
             order = np.argsort(ids, kind="stable")
             ids, all_ = ids[order], np.concatenate([p[1] for p in parts])[order]
             for batch in batches:
                 for at in range(0, batch.num_rows, 256):
                     part = batch.slice(at, 256)
-                    q = np.array(part.column("v").to_pylist(), np.float64)
-                    norm = np.linalg.norm(q, axis=1, keepdims=True)
-                    norm[norm == 0] = 1.0
-                    got = _best(part.column("id").to_numpy(), q / norm, ids, all_, k, exclude_self)
-                    yield pa.RecordBatch.from_arrays([pa.array(g) for g in got], names=["query_id", "match_id", "sim"])
-
-        rows = queries.where(F.col(vector_col).isNotNull())
-        rows = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-        found = rows.mapInArrow(against, RESULT)
-    else:
-        q_n = queries.count()
-        q_blocks = _packed(queries, id_col, vector_col, max(1, -(-q_n // block))).withColumnsRenamed({"block": "q", "ids": "q_ids", "vectors": "q_vectors"})
-        tasks = q_blocks.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(d_blocks - 1).cast("long"))))
-        pairs = tasks.join(packed.hint("merge"), "block")
+                    yield _found(_best(part.column("id").to_numpy(), _matrix(part.column("v")), ids, all_, k, exclude_self))
 
-        def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for r in range(batch.num_rows):
-                    row = {c: batch.column(c)[r].as_py() for c in ("q_ids", "q_vectors", "ids", "vectors")}
-                    got = _best(*arrays(row["q_ids"], row["q_vectors"]), *arrays(row["ids"], row["vectors"]), k, exclude_self)
-                    yield pa.RecordBatch.from_arrays([pa.array(g) for g in got], names=["query_id", "match_id", "sim"])
-
-        found = pairs.mapInArrow(tiles, RESULT)
+        found = asked.mapInArrow(against, RESULT)
+    else:
+        # A grid of groups of blocks: a side is copied once for each group of the other side, not for each block.
+        d_groups = max(1, -(-n * high * 8 // group_bytes))
+        q_groups = d_groups if same else max(1, -(-q_n * high * 8 // group_bytes))
+        q_packed = packed if same else _packed(asked, max(1, -(-q_n // block)))
+        d_side = packed.withColumn("d", F.pmod("block", F.lit(d_groups)))
+        q_side = q_packed.withColumn("q", F.pmod("block", F.lit(q_groups)))
+        # Of a table with itself only pairs of groups q <= d are looked at, each for both sides.
+        first_d = F.col("q") if same else F.lit(0).cast("long")
+        last_q = F.col("d") if same else F.lit(q_groups - 1).cast("long")
+        q_side = q_side.withColumn("d", F.explode(F.sequence(first_d, F.lit(d_groups - 1).cast("long"))))
+        d_side = d_side.withColumn("q", F.explode(F.sequence(F.lit(0).cast("long"), last_q)))
+
+        def tiles(left: pa.Table, right: pa.Table) -> pa.Table:
+            q, d = ([arrays(i.as_py(), v.as_py()) for i, v in zip(t.column("ids"), t.column("vectors"), strict=True)] for t in (left, right))
+            cell = (left.column("q")[0].as_py(), left.column("d")[0].as_py()) if len(left) else (0, 0)
+            out = [_found(_best(*x, *y, k, exclude_self)) for x in q for y in d]
+            if same and cell[0] != cell[1]:
+                out += [_found(_best(*y, *x, k, exclude_self)) for x in q for y in d]
+            empty = pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2 + [pa.array([], pa.float64())], names=["query_id", "match_id", "sim"])
+            return pa.Table.from_batches(out or [empty])
+
+        found = q_side.groupBy("q", "d").cogroup(d_side.groupBy("q", "d")).applyInArrow(tiles, RESULT)
     by = Window.partitionBy("query_id").orderBy(F.desc("sim"), "match_id")
     return found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)

@@ -11,13 +11,17 @@ from pyspark.sql import functions as F
 from ..functions import chat
 from ..operators import dedup, filters, model_calls
 from ..sources import readers
+from ..sources.scratch import cut
 
 
 def open_records(spark: SparkSession, data_path: str, save_path: str, max_samples: int = 50, key: str = "conversations") -> DataFrame:
-    """(pos, orig, key): the first of equal conversations that are not saved yet; 0 samples means all."""
-    rows = readers.read_records(spark, data_path).withColumn("pos", F.monotonically_increasing_id())
-    rows = rows.withColumn("key", readers.json_field(F.col("orig"), key))
-    first = dedup.first_of_each(rows, F.col("key"), "pos")
+    """(pos, orig, key): the first of equal conversations that are not saved yet; 0 samples means all.
+
+    Rows without the key are left out and do not count as samples.  The order is that of files and their lines.
+    """
+    rows = readers.read_records(spark, data_path, position=True)
+    rows = rows.withColumn("key", readers.json_field(F.col("orig"), key)).where("key is not null")
+    first = dedup.first_of_each(cut(rows, "records"), F.col("key"), "pos")
     saved = readers.saved_keys(spark, save_path, key)
     return filters.head(dedup.not_done(first, F.col("key"), saved, saved["key"]), max_samples, "pos")
 
@@ -34,9 +38,9 @@ def run(
     pause: float = 0.0,
 ) -> int:
     """Appends {conversations, outputs, prompt_tokens, completion_tokens} lines; returns how many."""
-    rows = open_records(spark, data_path, save_path, max_samples).where("key is not null")
-    messages = model_calls.user_message(chat.history_prompt(F.col("orig"), base_prompt))
-    got = model_calls.call_model(rows, F.col("pos"), messages, client, threads, retries, pause)
+    rows, orig = chat.with_record(open_records(spark, data_path, save_path, max_samples), "orig")
+    rows = rows.withColumn("_prompt", chat.history_prompt(orig, base_prompt)).select("key", "_prompt")
+    got = model_calls.call_model(rows, F.sha2("key", 256), model_calls.user_message(F.col("_prompt")), client, threads, retries, pause)
     good = got.where("reply.status = 'ok'").select(
         F.to_json(
             F.struct(

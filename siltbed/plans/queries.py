@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,11 @@ from pyspark.sql import functions as F
 
 from ..functions import chat, prompts, responses, scores, text
 from ..operators import cluster, dedup, filters, model_calls, similarity
+from ..sources import readers, writers
+from ..sources.scratch import cut, shared_dir
+from ..streaming import resume
+from . import multi_turn
+from . import pipeline as whole_run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +25,15 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.turns_to_record(table(spark, sf_dir, "conversations"))
 
 
+def parsed_records(spark: SparkSession, sf_dir: str, profile: str = "generate") -> tuple[DataFrame, chat.Record]:
+    return chat.with_record(records(spark, sf_dir), "orig", profile)
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    """A new folder for files that a query writes and reads."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with made-up judge output in all spellings."""
     n, k = (F.col("doc_id") * 7) % 11, F.col("doc_id") % 8
@@ -79,12 +94,14 @@ def query(sql: str | None = None):
 
 @query("SELECT conv_id, arg_max(text, turn) FILTER (role = 'user') AS text FROM conversations GROUP BY conv_id")
 def last_user_text(spark, sf_dir):
-    return records(spark, sf_dir).select("conv_id", chat.record_text(F.col("orig"), "prompt").alias("text"))
+    rows, orig = parsed_records(spark, sf_dir)
+    return rows.select("conv_id", chat.record_text(orig, "prompt").alias("text"))
 
 
 @query("SELECT conv_id, arg_max(text, turn) FILTER (role = 'assistant') AS text FROM conversations GROUP BY conv_id")
 def last_assistant_text(spark, sf_dir):
-    return records(spark, sf_dir).select("conv_id", chat.record_text(F.col("orig"), "response", "judge").alias("text"))
+    rows, orig = parsed_records(spark, sf_dir, "judge")
+    return rows.select("conv_id", chat.record_text(orig, "response", "judge").alias("text"))
 
 
 @query("SELECT conv_id, arg_max(text, turn) FILTER (role = 'user') AS text FROM conversations GROUP BY conv_id")
@@ -109,8 +126,8 @@ _PAIR = """
              WHEN u <> '' THEN '用户: ' || u WHEN s <> '' THEN '助手: ' || s END AS pair FROM p"""
 )
 def last_turn_pair(spark, sf_dir):
-    pair = chat.last_pair(chat.messages(F.col("orig"), "judge"))
-    rows = records(spark, sf_dir).withColumn("p", pair)
+    rows, orig = parsed_records(spark, sf_dir, "judge")
+    rows = rows.withColumn("p", chat.last_pair(orig.messages))
     return rows.select("conv_id", F.col("p.user").alias("user_text"), F.col("p.assistant").alias("assistant_text"), chat.pair_text(F.col("p")).alias("pair"))
 
 
@@ -119,7 +136,8 @@ def last_turn_pair(spark, sf_dir):
         SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations WHERE role = 'user') GROUP BY conv_id"""
 )
 def concat_user_turns(spark, sf_dir):
-    out = records(spark, sf_dir).select("conv_id", chat.embedding_text(F.col("orig"), all_turns=True).alias("text"))
+    rows, orig = parsed_records(spark, sf_dir)
+    out = rows.select("conv_id", chat.embedding_text(orig, all_turns=True).alias("text"))
     return out.where("text is not null")
 
 
@@ -130,7 +148,8 @@ def concat_user_turns(spark, sf_dir):
         WHERE back <= 3 AND s <> '') GROUP BY conv_id"""
 )
 def model_messages_last_3(spark, sf_dir):
-    rows = records(spark, sf_dir).withColumn("m", chat.model_messages(F.col("orig"), max_turns=3))
+    rows, orig = parsed_records(spark, sf_dir)
+    rows = rows.withColumn("m", chat.model_messages(orig, max_turns=3))
     joined = F.array_join(F.transform("m", lambda m: F.concat(m["role"], F.lit("="), m["content"])), "\n")
     return rows.select("conv_id", F.size("m").cast("long").alias("n"), joined.alias("messages"))
 
@@ -141,7 +160,8 @@ def model_messages_last_3(spark, sf_dir):
         FROM conversations GROUP BY conv_id"""
 )
 def history_prompt(spark, sf_dir):
-    return records(spark, sf_dir).select("conv_id", chat.history_prompt(F.col("orig"), "Go on: ").alias("prompt"))
+    rows, orig = parsed_records(spark, sf_dir)
+    return rows.select("conv_id", chat.history_prompt(orig, "Go on: ").alias("prompt"))
 
 
 @query("SELECT conv_id, arg_max(text, turn) AS content FROM conversations GROUP BY conv_id")
@@ -177,8 +197,9 @@ def think_strip(spark, sf_dir):
 )
 def prompt_question_answer(spark, sf_dir):
     rows = records(spark, sf_dir)
-    q, a = chat.row_text(rows, "prompt"), chat.row_text(rows, "response")
-    return prompts.with_prompt(rows, q, q, a, "rate_answer").select("conv_id", "prompt")
+    read, parsed = chat.with_row_records(rows)
+    read = read.withColumns({"q": chat.row_text(rows, "prompt", parsed), "a": chat.row_text(rows, "response", parsed)})
+    return prompts.with_prompt(read, F.col("q"), F.col("q"), F.col("a"), "rate_answer").select("conv_id", "prompt")
 
 
 @query(
@@ -344,17 +365,18 @@ def pair_decontaminate_removed(spark, sf_dir):
     return out.select("vec_id", "matched_test_index", F.round("matched_test_sim", 6).alias("matched_test_sim"))
 
 
-def _greedy_sql(threshold: float, levels: int = 10) -> str:
-    """The forest of nearest neighbours resolved level by level: a row is dead if a living child points at it."""
-    steps = ", ".join(
-        f"d{k} AS MATERIALIZED (SELECT DISTINCT nn AS vec_id FROM e ANTI JOIN d{k - 1} USING (vec_id))" for k in range(1, levels + 1)
-    )
-    return f"""WITH {_UNIT}, s AS (SELECT a.vec_id, b.vec_id AS other, list_inner_product(a.v, b.v) AS sim FROM u a JOIN u b ON a.vec_id <> b.vec_id),
+def _greedy_sql(threshold: float) -> str:
+    """The sequential rule, row by row in a recursion that carries the ids that are gone."""
+    return f"""WITH RECURSIVE {_UNIT}, s AS (SELECT a.vec_id, b.vec_id AS other, list_inner_product(a.v, b.v) AS sim FROM u a JOIN u b ON a.vec_id <> b.vec_id),
         n AS MATERIALIZED (SELECT vec_id, other AS nn, sim FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, other) AS r FROM s)
             WHERE r = 1 AND sim >= {threshold}),
-        e AS MATERIALIZED (SELECT vec_id, nn FROM n WHERE nn > vec_id), d0 AS (SELECT vec_id FROM e WHERE false), {steps},
-        v AS (SELECT b.vec_id, d.vec_id IS NULL AND NOT coalesce(n.nn < b.vec_id, false) AS kept, n.nn AS best_id, round(n.sim, 6) AS best_sim
-            FROM embeddings b LEFT JOIN n ON n.vec_id = b.vec_id LEFT JOIN d{levels} d ON d.vec_id = b.vec_id)"""
+        o AS MATERIALIZED (SELECT vec_id, nn, row_number() OVER (ORDER BY vec_id) AS i FROM n),
+        w(i, gone) AS (SELECT CAST(0 AS BIGINT), CAST([] AS BIGINT[]) UNION ALL
+            SELECT o.i, CASE WHEN list_contains(gone, vec_id) THEN gone ELSE list_append(gone, nn) END
+            FROM w JOIN (SELECT i, vec_id, CASE WHEN nn < vec_id THEN vec_id ELSE nn END AS nn FROM o) o ON o.i = w.i + 1),
+        d AS (SELECT unnest(gone) AS vec_id FROM (SELECT gone FROM w ORDER BY i DESC LIMIT 1)),
+        v AS (SELECT b.vec_id, b.vec_id NOT IN (SELECT vec_id FROM d) AS kept, n.nn AS best_id, round(n.sim, 6) AS best_sim
+            FROM embeddings b LEFT JOIN n ON n.vec_id = b.vec_id)"""
 
 
 def _greedy(spark: SparkSession, sf_dir: str, threshold: float) -> DataFrame:
@@ -411,9 +433,9 @@ def failed_items(spark, sf_dir):
             SELECT conv_id, arg_max(text, turn) FILTER (role = 'user') AS t FROM conversations GROUP BY conv_id)) WHERE s <> ''"""
 )
 def generate_fake(spark, sf_dir):
-    rows = records(spark, sf_dir)
-    messages = model_calls.user_message(text.sanitize(chat.record_text(rows["orig"])))
-    out = model_calls.generate(rows, F.col("conv_id"), messages, model_calls.FakeClient(), samples=2, pause=0)
+    rows, orig = parsed_records(spark, sf_dir)
+    rows = rows.withColumn("asked", text.sanitize(chat.record_text(orig))).select("conv_id", "asked")
+    out = model_calls.generate(rows, F.col("conv_id"), model_calls.user_message(F.col("asked")), model_calls.FakeClient(), samples=2, pause=0)
     return out.where(F.size("samples") > 0).select("conv_id", F.col("samples")[1].alias("answer"))
 
 
@@ -428,31 +450,335 @@ def judge_fake(spark, sf_dir):
     return model_calls.judge(asked, F.col("doc_id"), model_calls.FakeClient(), text=asked["text"], pause=0).select("doc_id", "sglang_result")
 
 
-@query()
+@query(
+    """WITH t AS (SELECT conv_id, arg_max(text, turn) AS text FROM conversations WHERE role = 'user' AND text <> '' GROUP BY conv_id),
+        g AS (SELECT conv_id, md5(substr(text, i, 3)) AS h FROM (SELECT *, unnest(range(1, greatest(length(text) - 1, 2))) AS i FROM t))
+        SELECT conv_id, dim, value FROM (SELECT conv_id, CAST(CAST('0x' || substr(h, 1, 8) AS BIGINT) % 64 AS INTEGER) AS dim,
+            CAST(sum(CASE WHEN substr(h, 9, 1) >= '8' THEN 1 ELSE -1 END) AS DOUBLE) AS value FROM g GROUP BY 1, 2) WHERE value <> 0"""
+)
 def embed_conversations(spark, sf_dir):
-    rows = records(spark, sf_dir).select("conv_id", chat.embedding_text(F.col("orig")).alias("text")).where("text is not null")
-    return model_calls.embed(rows, "text", model_calls.HashEmbedder()).select("conv_id", "embedding")
+    rows, orig = parsed_records(spark, sf_dir)
+    rows = rows.select("conv_id", chat.embedding_text(orig).alias("text")).where("text is not null")
+    out = model_calls.embed(rows, "text", model_calls.HashEmbedder())
+    out = out.select("conv_id", F.posexplode("embedding").alias("dim", "value")).where("value <> 0")
+    return out.withColumn("value", F.col("value").cast("double"))
 
 
 # -- clusters
 
 
-@query()
+def _nearest_centre(rows: DataFrame, centres: list) -> Column:
+    """The number of the centre at the least squared distance, by plain expressions."""
+    away = [F.aggregate(F.zip_with("f", F.array(*[F.lit(float(x)) for x in c]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x) for c in centres]
+    return F.array_position(F.array(*away), F.least(*away)) - 1
+
+
+@query("SELECT count(*) AS n, CAST(0 AS BIGINT) AS misplaced, CAST(5 AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS off_centre FROM embeddings")
 def kmeans_labels(spark, sf_dir):
-    rows = cluster.features(table(spark, sf_dir, "embeddings"), pca_dim=16)
-    return cluster.label(rows, cluster.fit(rows, 5)).select("vec_id", "kmeans_label")
+    """What holds of any k-means result: each row is with its nearest centre, and each centre is its cluster's mean."""
+    from pyspark.ml.functions import vector_to_array
+
+    rows = cluster.stored_features(table(spark, sf_dir, "embeddings"), pca_dim=16)
+    model = cluster.fit(rows, 5, max_iter=200, tol=1e-9)
+    centres = model.clusterCenters()
+    out = cluster.label(rows, model).select("vec_id", "kmeans_label").join(rows.select("vec_id", vector_to_array("features").alias("f")), "vec_id")
+    out = out.withColumn("best", _nearest_centre(out, centres))
+    means = out.groupBy("kmeans_label").agg(F.count("*").alias("n"), F.count_if(F.col("best") != F.col("kmeans_label")).alias("bad"), *[F.avg(F.col("f")[j]).alias(f"m{j}") for j in range(len(centres[0]))])
+    at = spark.createDataFrame([(k, [float(x) for x in c]) for k, c in enumerate(centres)], "kmeans_label long, c array<double>")
+    gap = F.greatest(*[F.abs(F.col(f"m{j}") - F.col("c")[j]) for j in range(len(centres[0]))])
+    checked = means.join(F.broadcast(at), "kmeans_label")
+    return checked.agg(F.sum("n").alias("n"), F.sum("bad").alias("misplaced"), F.count("*").alias("clusters"), F.count_if(gap > 1e-3).alias("off_centre"))
+
 
+@query(
+    """WITH p AS (SELECT vec_id, vec_id % 5 AS c, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+        d AS (SELECT a.vec_id, a.c, b.c AS o, sum(list_inner_product(a.v, a.v) + list_inner_product(b.v, b.v) - 2 * list_inner_product(a.v, b.v)) AS s,
+            count(*) AS n FROM p a JOIN p b ON true GROUP BY 1, 2, 3),
+        w AS (SELECT vec_id, max(CASE WHEN c = o THEN s / (n - 1) END) AS own, min(CASE WHEN c <> o THEN s / n END) AS other FROM d GROUP BY vec_id)
+        SELECT round(avg((other - own) / greatest(own, other)), 6) AS silhouette FROM w"""
+)
+def silhouette_of_labels(spark, sf_dir):
+    rows = cluster.features(table(spark, sf_dir, "embeddings"), pca_dim=0).withColumn("prediction", (F.col("vec_id") % 5).cast("double"))
+    return spark.createDataFrame([(round(cluster.evaluate(rows), 6),)], "silhouette double")
 
-@query()
+
+@query("SELECT 4 AS best_k, 2 AS too_small, CAST(least(7, floor(sqrt(count(*)))) AS INTEGER) AS rule_of_thumb FROM embeddings")
 def best_k(spark, sf_dir):
-    rows = cluster.features(table(spark, sf_dir, "embeddings"), pca_dim=16)
-    return spark.createDataFrame([(cluster.best_k(rows, 2, 6),)], "best_k int")
+    """The choice by given scores: the smallest of the best; one k only; none possible."""
+    rows = table(spark, sf_dir, "embeddings")
+    graded = {2: 0.1, 3: 0.3, 4: 0.7, 5: 0.7, 6: 0.2}
+    none = min(7, int(rows.count() ** 0.5))
+    found = (cluster.best_k(rows, 2, 6, lambda _, k: graded[k]), cluster.best_k(rows, 2, 2, lambda _, k: 0.0), none)
+    return spark.createDataFrame([found], "best_k int, too_small int, rule_of_thumb int")
+
+
+@query("SELECT count(*) AS n, true AS chosen_is_best, true AS files_labelled FROM embeddings")
+def cluster_run(spark, sf_dir):
+    """The whole run: sample, choose k, fit, label each file, and write the summary; checked against its own scores."""
+    rows = table(spark, sf_dir, "embeddings").withColumn("file", F.concat(F.lit("f"), (F.col("vec_id") % 3).cast("string")))
+    path = folder(spark, "clusters")
+    result = cluster.run(rows, path, "file", F.col("vec_id"), low=2, high=4, pca_dim=16, sample=600)
+    labelled = spark.read.parquet(f"{path}/labels")
+    best = max(result["scores"].values())
+    chosen = result["best_k"] == min(k for k, v in result["scores"].items() if v == best)
+    in_range = labelled.where(~F.col("kmeans_label").between(0, result["best_k"] - 1)).count() == 0
+    files = labelled.select("file").distinct().count() == 3 and in_range
+    return spark.createDataFrame([(labelled.count(), chosen, files)], "n long, chosen_is_best boolean, files_labelled boolean")
 
 
-@query()
+@query(
+    """SELECT count(*) AS n, true AS falling, true AS uncorrelated, true AS below_total FROM embeddings"""
+)
 def pca_coordinates(spark, sf_dir):
+    """What holds of principal components: uncorrelated, of falling variance, and at most the variance of all columns."""
     from pyspark.ml.functions import vector_to_array
 
     rows = cluster.features(table(spark, sf_dir, "embeddings"), pca_dim=2)
     xy = vector_to_array("features")
-    return rows.select("vec_id", xy[0].alias("x"), xy[1].alias("y"))
+    rows = rows.select(xy[0].alias("x"), xy[1].alias("y"), "embedding")
+    dim = len(rows.first()["embedding"])
+    total = sum((F.var_pop(F.col("embedding")[j].cast("double")) for j in range(1, dim)), F.var_pop(F.col("embedding")[0].cast("double")))
+    out = rows.agg(F.count("*").alias("n"), F.var_pop("x").alias("vx"), F.var_pop("y").alias("vy"), F.covar_pop("x", "y").alias("c"), total.alias("all"))
+    return out.select(
+        "n", (F.col("vx") >= F.col("vy")).alias("falling"), (F.abs("c") < 1e-6 * F.col("vx")).alias("uncorrelated"), (F.col("vx") + F.col("vy") <= F.col("all")).alias("below_total")
+    )
+
+
+# -- readers and writers: what is written is read back
+
+
+@query("SELECT doc_id, lang, text FROM documents")
+def jsonl_round_trip(spark, sf_dir):
+    path = folder(spark, "jsonl")
+    writers.write_jsonl(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), path)
+    return readers.read_jsonl(spark, path).select("doc_id", "lang", "text")
+
+
+@query("SELECT event_id, event_type, CAST(user_id AS BIGINT) AS user_id FROM events")
+def dispatched_records(spark, sf_dir):
+    """Line JSON and Parquet through the same reader: even events from one, odd ones from the other."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
+    lines, columns = folder(spark, "records") + ".jsonl", folder(spark, "records") + ".parquet"
+    writers.write_jsonl(events.where("event_id % 2 = 0"), lines)
+    writers.write_parquet(events.where("event_id % 2 = 1"), columns)
+    both = readers.read_any(spark, lines).unionByName(readers.read_any(spark, columns))
+    out = chat.project(both, "orig", ("event_id", "event_type", "user_id"))
+    return out.select(F.col("event_id").cast("long").alias("event_id"), "event_type", F.col("user_id").cast("long").alias("user_id"))
+
+
+@query("SELECT l_returnflag, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS lines FROM lineitem GROUP BY l_returnflag")
+def csv_round_trip(spark, sf_dir):
+    path = folder(spark, "csv")
+    writers.write_csv(table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linenumber"), path)
+    back = spark.read.option("header", "true").schema("l_returnflag string, l_linenumber long").csv(path)
+    return back.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.sum("l_linenumber").alias("lines"))
+
+
+@query(
+    """SELECT vec_id AS idx, len(embedding) AS dim, round(list_sum(CAST(embedding AS DOUBLE[])), 4) AS total, 'here' AS source, true AS placed
+        FROM embeddings WHERE vec_id % 10 <> 3"""
+)
+def embedding_shards(spark, sf_dir):
+    """Shards in their fixed schema; rows without a vector are left out when they are read."""
+    rows = table(spark, sf_dir, "embeddings")
+    uid = text.record_uid(rows["vec_id"], F.lit("x"))
+    vector = F.when(rows["vec_id"] % 10 != 3, rows["embedding"])
+    path = folder(spark, "shards")
+    writers.write_embeddings(rows.select(uid.alias("uid"), rows["vec_id"].alias("idx"), vector.alias("embedding"), F.lit("x").alias("orig"), F.lit("here").alias("source")), path)
+    out = readers.read_embeddings(spark, path)
+    total = F.aggregate(F.col("embedding").cast("array<double>"), F.lit(0.0), lambda a, x: a + x)
+    placed = F.endswith("file_name", F.lit(".parquet")) & (F.col("row_index") >= 0)
+    return out.select("idx", F.size("embedding").cast("long").alias("dim"), F.round(total, 4).alias("total"), "source", placed.alias("placed"))
+
+
+@query(
+    """SELECT vec_id, CASE WHEN vec_id % 3 <> 0 THEN 'kept' ELSE 'removed' END AS side, CASE WHEN vec_id % 3 = 0 THEN vec_id + 1 ELSE -1 END AS best_id FROM embeddings"""
+)
+def kept_removed_files(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label")
+    tagged = rows.withColumns({"kept": F.col("vec_id") % 3 != 0, "best_id": F.when(F.col("vec_id") % 3 == 0, F.col("vec_id") + 1), "best_sim": F.lit(0.9)})
+    kept, removed = folder(spark, "kept"), folder(spark, "removed")
+    writers.write_kept_removed(tagged, kept, removed)
+    own, other = readers.read_parquet(spark, kept), readers.read_parquet(spark, f"{removed}/*.parquet")
+    parts = writers.union_of_parts(own.withColumn("side", F.lit("kept")), other.withColumn("side", F.lit("removed")))
+    return parts.select("vec_id", "side", F.coalesce("best_id", F.lit(-1)).alias("best_id"))
+
+
+@query(
+    """SELECT r_regionkey AS key, r_name AS name, -1 AS region FROM region
+        UNION ALL SELECT n_nationkey, n_name, n_regionkey FROM nation"""
+)
+def union_of_unlike_parts(spark, sf_dir):
+    regions = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("key"), F.col("r_name").alias("name"))
+    nations = table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("key"), F.col("n_regionkey").alias("region"))
+    return writers.union_of_parts(regions, nations).fillna(-1, ["region"])
+
+
+def _conversation_lines(spark: SparkSession, sf_dir: str, where: str = "true") -> str:
+    path = folder(spark, "lines") + ".jsonl"
+    records(spark, sf_dir).where(where).select(F.col("orig").alias("value")).write.text(path)
+    return path
+
+
+_TALKS = "SELECT conv_id, list({'role': role, 'content': text} ORDER BY turn) AS talk FROM conversations GROUP BY conv_id"
+
+
+@query(f"SELECT count(DISTINCT talk) AS n FROM ({_TALKS})")
+def saved_conversations(spark, sf_dir):
+    return readers.saved_keys(spark, _conversation_lines(spark, sf_dir)).agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT count(DISTINCT talk) AS n FROM ({_TALKS}) WHERE talk NOT IN (SELECT talk FROM ({_TALKS}) WHERE conv_id % 3 = 0)")
+def open_conversations(spark, sf_dir):
+    """The first of equal conversations that are not among the saved ones."""
+    lines, saved = _conversation_lines(spark, sf_dir), _conversation_lines(spark, sf_dir, "conv_id % 3 = 0")
+    return multi_turn.open_records(spark, lines, saved, 0).agg(F.count("*").alias("n"))
+
+
+@query(
+    f"""SELECT '[[' || length('Go on: ' || coalesce(list_aggregate(list_transform(talk, lambda m: CASE m.role WHEN 'assistant' THEN '【AI assistant】：'
+        WHEN 'user' THEN '【user】：' END || m.content), 'string_agg', ''), '')) % 11 || ']]' AS outputs, count(*) AS n
+        FROM (SELECT DISTINCT talk FROM ({_TALKS})) GROUP BY 1"""
+)
+def multi_turn_outputs(spark, sf_dir):
+    """The runner's saved answers; a second run finds nothing left to do."""
+    lines, saved = _conversation_lines(spark, sf_dir), folder(spark, "saved")
+    multi_turn.run(spark, lines, saved, model_calls.FakeClient(), "Go on: ", max_samples=0)
+    multi_turn.run(spark, lines, saved, model_calls.FakeClient(), "Go on: ", max_samples=0)
+    return spark.read.json(saved).groupBy("outputs").agg(F.count("*").alias("n"))
+
+
+# -- more projections
+
+
+@query("SELECT doc_id, coalesce(nullif(trim(source), ''), 'web') AS source FROM documents")
+def source_names(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", text.source_name(F.col("source"), "web").alias("source"))
+
+
+@query("SELECT count(*) FILTER (event_type = 'purchase') AS n FROM events")
+def type_of_records(spark, sf_dir):
+    made = table(spark, sf_dir, "events").select(F.to_json(F.struct(F.col("event_type").alias("type"))).alias("orig"))
+    return chat.project(made, "orig", ("type",)).agg(F.count_if(F.col("type") == "purchase").alias("n"))
+
+
+@query("SELECT doc_id, sha256(doc_id || chr(31) || text) AS uid FROM documents WHERE text IS NOT NULL")
+def record_uids(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").where("text is not null")
+    return docs.select("doc_id", text.record_uid(F.col("doc_id"), F.col("text")).alias("uid"))
+
+
+@query(
+    _PAIR
+    + """SELECT conv_id, CASE WHEN u <> '' AND s <> '' THEN '用户: ' || u || chr(10) || '助手: ' || s
+             WHEN u <> '' THEN '用户: ' || u WHEN s <> '' THEN '助手: ' || s END AS text FROM p"""
+)
+def row_text_last_turn(spark, sf_dir):
+    rows = records(spark, sf_dir)
+    read, parsed = chat.with_row_records(rows)
+    return read.select("conv_id", chat.row_text(rows, "last_turn", parsed).alias("text"))
+
+
+@query("SELECT vec_id, len(embedding) AS dim, round(CAST(embedding[1] AS DOUBLE), 5) AS first FROM embeddings")
+def parsed_vectors(spark, sf_dir):
+    """Vectors from JSON text, from tuples in text, and as they are under another name."""
+    rows = table(spark, sf_dir, "embeddings")
+    listed = F.to_json("embedding")
+    as_tuple = F.concat(F.lit("("), F.substring_index(F.substring_index(listed, "]", 1), "[", -1), F.lit(",)"))
+    made = rows.select("vec_id", F.when(F.col("vec_id") % 3 == 0, listed).when(F.col("vec_id") % 3 == 1, as_tuple).alias("embedding"), F.when(F.col("vec_id") % 3 == 2, F.col("embedding")).alias("emb"))
+    out = similarity.parsed_vectors(made)
+    return out.select("vec_id", F.size("embedding").cast("long").alias("dim"), F.round(F.col("embedding")[0].cast("double"), 5).alias("first"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 4 < 3 THEN CAST(doc_id % 11 AS DOUBLE) END AS score FROM documents")
+def embedded_objects(spark, sf_dir):
+    """Objects inside texts: alone, within words, in single quotes, and none."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    n = (F.col("doc_id") % 11).cast("string")
+    made = F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit('{"score": '), n, F.lit("}")))
+    made = made.when(F.col("doc_id") % 4 == 1, F.concat(F.lit('so: {"score": '), n, F.lit("} it is")))
+    made = made.when(F.col("doc_id") % 4 == 2, F.concat(F.lit("well {'score': "), n, F.lit("}"))).otherwise("nothing here")
+    return docs.select("doc_id", F.try_variant_get(scores.embedded_object(made), "$.score", "double").alias("score"))
+
+
+@query(
+    """SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN '["a","b","c"]' WHEN 1 THEN '["a","failed_after_2","c"]' WHEN 2 THEN '["a"]'
+        WHEN 3 THEN '["a","","c","d"]' WHEN 5 THEN '["{\\"status\\":\\"failed\\"}","b","c"]' ELSE '[]' END AS stored FROM documents"""
+)
+def serialised_samples(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", responses.serialise(responses.samples(_stored(docs))).alias("stored"))
+
+
+@query(
+    """SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN '["a","b","c"]' WHEN 1 THEN '["a","' || x || '","c"]' WHEN 2 THEN '["a","' || x || '","' || x || '"]'
+        WHEN 3 THEN '["a","' || x || '","c"]' WHEN 4 THEN '[]' WHEN 5 THEN '["' || x || '","b","c"]' ELSE '["' || x || '","' || x || '","' || x || '"]' END AS stored
+        FROM (SELECT doc_id, '[[' || length('ask ' || doc_id) % 11 || ']]' AS x FROM documents)"""
+)
+def repaired_samples(spark, sf_dir):
+    """Failed and missing slots called again; the others stay."""
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", _stored(docs).alias("stored"), F.concat(F.lit("ask "), F.col("doc_id").cast("string")).alias("p"))
+
+    def again(todo: DataFrame, slots: Column) -> DataFrame:
+        return model_calls.generate(todo, F.col("doc_id"), model_calls.user_message(F.col("p")), model_calls.FakeClient(), 3, slots=slots, pause=0)
+
+    return resume.repair(rows, "doc_id", "stored", 3, again).select("doc_id", "stored")
+
+
+@query("SELECT doc_id, '[[' || length('ask ' || doc_id) % 11 || ']]' AS answer FROM documents")
+def resumed_generation(spark, sf_dir):
+    """Half of the rows in a first run, all of them in a second one that goes on, then one output."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("ask "), F.col("doc_id").cast("string")).alias("p"))
+    parts, path = folder(spark, "parts"), folder(spark, "whole")
+    size = max(1, -(-rows.count() // 3))
+
+    def work(part: DataFrame) -> DataFrame:
+        got = model_calls.generate(part, F.col("doc_id"), model_calls.user_message(F.col("p")), model_calls.FakeClient(), 1, pause=0)
+        return got.select("doc_id", F.col("samples")[0].alias("answer"))
+
+    resume.run_in_parts(rows.where("doc_id % 2 = 0"), "doc_id", work, parts, size)
+    writers.compact(resume.run_in_parts(rows, "doc_id", work, parts, size), path)
+    return spark.read.parquet(path)
+
+
+@query("SELECT CAST(least(sum(least(n, quota)), 40) AS BIGINT) AS n, true AS in_quota FROM (SELECT count(*) AS n, ceil(40 / count(*) OVER ()) AS quota FROM documents GROUP BY source)")
+def sample_per_file(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("source", F.lit("none")).alias("file"))
+    got = filters.per_file_sample(docs, "file", 40, F.col("doc_id"))
+    files = docs.select("file").distinct().count()
+    by_file = got.groupBy("file").agg(F.count("*").alias("n"))
+    return by_file.agg(F.sum("n").alias("n"), (F.max("n") <= -(-40 // files)).alias("in_quota"))
+
+
+@query("SELECT 'http://a' AS url, 2.0 / 3 / (2.0 / 3 + 0.5) AS weight UNION ALL SELECT 'http://b', 0.5 / (2.0 / 3 + 0.5)")
+def endpoint_weights(spark, sf_dir):
+    pool = model_calls.EndpointPool.parse("http://a+http://b+http://c", "http://a:2/3+http://b:0.5")
+    return spark.createDataFrame(list(zip(pool.urls, pool.weights, strict=True)), "url string, weight double")
+
+
+# -- the whole run
+
+
+@query(
+    _PAIR
+    + f""", j AS (SELECT conv_id, q, length('Rate how well the answer serves the question, from 1 to 10. End with [[n]].' || chr(10) || chr(10) || 'Question: '
+        || {_CLEAN.format("q")} || chr(10) || chr(10) || 'Answer: ' || {_CLEAN.format("r")}) % 11 AS score
+        FROM (SELECT p.conv_id, coalesce({_STRIP.format("l.u")}, '') AS q, coalesce({_STRIP.format("p.s")}, '') AS r FROM p JOIN
+            (SELECT conv_id, arg_max(text, turn) FILTER (role = 'user') AS u FROM conversations GROUP BY conv_id) l USING (conv_id)) WHERE q <> '')
+        SELECT stage, state, CAST(n AS BIGINT) AS n FROM (
+            SELECT 'embedding' AS stage, 'reused' AS state, (SELECT count(*) FROM j) AS n
+            UNION ALL SELECT 'dedup', 'reused', (SELECT count(*) FROM j) UNION ALL SELECT 'judge', 'reused', (SELECT count(*) FROM j)
+            UNION ALL SELECT 'filter', 'written', (SELECT count(*) FROM j WHERE score BETWEEN 5 AND 10)
+            UNION ALL SELECT 'inference', 'written', (SELECT count(*) FROM j WHERE score BETWEEN 5 AND 10))"""
+)
+def run_manifest(spark, sf_dir):
+    """Two runs over the same records, the second with another lower bound: it reuses what the bound does not touch."""
+    rows = records(spark, sf_dir).select(F.col("conv_id").alias("idx"), "orig")
+    fake = model_calls.FakeClient()
+    settings = whole_run.Settings("bounds", folder(spark, "run"), fake, fake, threshold=1.01, pause=0)
+    whole_run.run(rows, settings)
+    settings.low = 5.0
+    _, manifest = whole_run.run(rows, settings)
+    found = [(name, s["state"], s["rows"]) for name, s in manifest["stages"].items()]
+    return spark.createDataFrame(found, "stage string, state string, n long")

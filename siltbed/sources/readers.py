@@ -19,15 +19,23 @@ def read_jsonl(spark: SparkSession, path: str, strict: bool = True) -> DataFrame
     return spark.read.option("mode", mode).json(path)
 
 
-def read_records(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
+def read_records(spark: SparkSession, path: str, strict: bool = False, position: bool = False) -> DataFrame:
     """(orig): each line of a JSON-lines file as its JSON text, blank lines left out.
 
     The records keep their own shapes; bad lines stop the query or are dropped.
+    ``position`` adds ``pos``, which orders records as the files and their lines are.
     """
-    lines = spark.read.text(path).where(F.trim("value") != "")
+    lines = spark.read.text(path)
+    more = []
+    if position:
+        # Inside one piece of a file, rows come in order; the pieces' first bytes order the rest.
+        piece = [F.col(f"_metadata.{c}") for c in ("file_path", "file_block_start")]
+        lines = lines.select("value", F.struct(*piece, F.monotonically_increasing_id().alias("row")).alias("pos"))
+        more = ["pos"]
+    lines = lines.where(F.trim("value") != "")
     if strict:
-        return lines.select(F.to_json(F.parse_json("value")).alias("orig"))
-    return lines.where(F.try_parse_json("value").isNotNull()).select(F.col("value").alias("orig"))
+        return lines.select(F.to_json(F.parse_json("value")).alias("orig"), *more)
+    return lines.where(F.try_parse_json("value").isNotNull()).select(F.col("value").alias("orig"), *more)
 
 
 def read_json_or_jsonl(spark: SparkSession, path: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """Intermediate tables in the shared folder.
 
-``spark.checkpoint.dir`` names a folder that every executor reads; a temporary
-one is made only where it is unset.
+``spark.checkpoint.dir`` names a folder that every executor reads.  Where it is
+unset, local sessions use a temporary folder and others are refused, since their
+executors would not see one.  Tables live in a folder of the application, which
+goes when the driver ends; ``discard`` removes one earlier.
 """
 
 from __future__ import annotations
@@ -11,17 +13,48 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_own: dict[str, str] = {}
+_known: set[str] = set()
 
-def shared_dir(spark: SparkSession) -> str:
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="siltbed-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) of the JVM."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
-def cut(df: DataFrame, name: str = "t") -> DataFrame:
+def shared_dir(spark: SparkSession) -> str:
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if context.master.partition("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
+        base = _own.setdefault(context.applicationId, "")
+        base = base or "file://" + tempfile.mkdtemp(prefix="siltbed-")
+        _own[context.applicationId] = base
+    path = f"{base.rstrip('/')}/siltbed-{context.applicationId}"
+    if path not in _known:
+        fs, target = file_system(spark, path)
+        fs.mkdirs(target)
+        fs.deleteOnExit(target)
+        _known.add(path)
+    return path
+
+
+def cut(df: DataFrame, name: str = "t", codec: str = "zstd") -> DataFrame:
     """Write and read back, which ends the lineage and survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/siltbed-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", codec).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._siltbed_path = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete the tables behind DataFrames made by ``cut`` once nothing reads them; other DataFrames are left alone."""
+    for df in tables:
+        path = getattr(df, "_siltbed_path", None)
+        if path:
+            fs, target = file_system(df.sparkSession, path)
+            fs.delete(target, True)

@@ -5,9 +5,11 @@ from __future__ import annotations
 import json
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .scratch import file_system
+
 #: The one fixed schema: what embedding shards hold.
 EMBEDDING_SCHEMA = "uid string, idx long, embedding array<float>, orig string, source string"
 
@@ -57,6 +59,34 @@ def write_json_file(value, path: str) -> None:
     os.replace(path + ".tmp", path)
 
 
+def write_manifest(spark: SparkSession, value, path: str) -> None:
+    """The same in any file system that Spark reads: written beside its place, then renamed."""
+    fs, target = file_system(spark, path)
+    _, part = file_system(spark, path + ".tmp")
+    out = fs.create(part, True)
+    out.write(bytearray(json.dumps(value, ensure_ascii=False, indent=2).encode()))
+    out.close()
+    fs.delete(target, False)
+    if not fs.rename(part, target):
+        raise OSError(f"{path} could not be put in place")
+
+
+def union_of_parts(*parts: DataFrame) -> DataFrame:
+    """Parts of unlike records as one table: columns by name, null where a part has none."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
+def write_labels(labelled: DataFrame, source: DataFrame, path: str, label: str = "kmeans_label") -> None:
+    """Labelled rows in a folder of their own, with the label last; refuses results that lost or gained rows."""
+    write_parquet(labelled.select(*[c for c in labelled.columns if c != label], label), path)
+    wrote, had = labelled.sparkSession.read.parquet(path).count(), source.count()
+    if wrote != had:
+        raise ValueError(f"{wrote} labels for {had} rows in {path}")
+
+
 def compact(parts: DataFrame, path: str, files: int | None = None) -> None:
     """Parts of a run as one output, in ``files`` files if asked."""
     write_parquet(parts.coalesce(files) if files else parts, path, codec="snappy")

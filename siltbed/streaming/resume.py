@@ -8,18 +8,22 @@ stream's checkpoint remembers which files are done.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.responses import retry_slots, samples
+from ..sources.scratch import file_system, shared_dir
 
 
-def fingerprint(df: DataFrame, key: str) -> str:
-    """Names an input by its keys, whatever their order."""
-    n, total = df.agg(F.count("*"), F.sum(F.xxhash64(key).cast("decimal(38,0)"))).first()
-    return f"{n}-{total or 0}"
+def fingerprint(df: DataFrame, *columns: str) -> str:
+    """Names an input by the contents of some columns (all by default), whatever the order of its rows."""
+    cells = [F.col(c) for c in columns or df.columns]
+    sums = [F.sum(F.xxhash64(F.lit(seed), *cells).cast("decimal(38,0)")) for seed in (1, 2)]
+    n, a, b = df.agg(F.count("*"), *sums).first()
+    return f"{n}-{int(a or 0) % (1 << 64):016x}{int(b or 0) % (1 << 64):016x}"
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame | None:
@@ -34,15 +38,24 @@ def _read(spark: SparkSession, path: str) -> DataFrame | None:
 def run_in_parts(df: DataFrame, key: str, work: Callable[[DataFrame], DataFrame], path: str, part_rows: int = 2000) -> DataFrame:
     """Apply ``work`` to the rows whose key is not in ``path`` yet, one part at a time, and return all results.
 
-    Parts are chosen by the hash of the key, so they do not depend on the order of rows.
+    The open rows are written once, in a folder for each part, so the input is
+    scanned and compared with what is done once, however many parts there are.
+    Parts are chosen by the hash of the key, so they do not depend on the order
+    of rows.  Of rows that share a key, one is worked on.
     """
     spark = df.sparkSession
     done = _read(spark, path)
     left = df if done is None else df.join(done.select(key).distinct(), key, "left_anti")
-    n = left.count()
-    parts = max(1, -(-n // part_rows))
-    for p in range(parts if n else 0):
-        work(left.where(F.pmod(F.xxhash64(key, F.lit(17)), F.lit(parts)) == p)).write.mode("append").parquet(path)
+    parts = max(1, -(-df.count() // part_rows))
+    store = f"{shared_dir(spark)}/open-{uuid.uuid4().hex}"
+    fs, target = file_system(spark, store)
+    numbered = left.dropDuplicates([key]).withColumn("_part", F.pmod(F.xxhash64(key, F.lit(17)), F.lit(parts)))
+    numbered.repartition("_part").write.partitionBy("_part").parquet(store)
+    found = sorted(int(s.getPath().getName().partition("=")[2]) for s in fs.listStatus(target) if s.isDirectory())
+    for p in found:
+        rows = spark.read.schema(df.schema).parquet(f"{store}/_part={p}")
+        work(rows).write.mode("append").parquet(path)
+    fs.delete(target, True)
     out = _read(spark, path)
     return out if out is not None else work(df.limit(0))
 
@@ -55,7 +68,7 @@ def repair(results: DataFrame, key: str, stored: str, n: int, again: Callable[[D
     """
     slots = retry_slots(samples(F.col(stored)), n)
     todo = results.withColumn("slots", slots).where(F.size("slots") > 0)
-    fresh = again(todo, F.col("slots")).select(F.col(key), F.col("samples").alias("_new"))
+    fresh = again(todo, F.col("slots")).select(F.col(key), F.col("samples").alias("_new")).dropDuplicates([key])
     old = samples(F.col(stored))
     every = F.array(*[F.lit(i) for i in range(n)])
     merged = F.transform(every, lambda i: F.when(F.array_contains(slots, i), F.try_element_at("_new", i + 1)).otherwise(F.try_element_at(old, i + 1)))

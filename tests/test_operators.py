@@ -3,6 +3,7 @@
 import json
 import math
 import sys
+import uuid
 
 import numpy as np
 import pytest
@@ -242,3 +243,133 @@ def test_pipeline(spark, tmp_path):
     assert forced["stages"]["dedup"]["state"] == "skipped" and forced["stages"]["judge"]["rows"] == 4
     _, dry = pipeline.run(records, pipeline.Settings(**settings, dry_run=True))
     assert {v["state"] for v in dry["stages"].values()} == {"planned"}
+
+
+class Counting:
+    """Leaves a file for each call."""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def complete(self, messages, key, attempt):
+        (self.folder / uuid.uuid4().hex).touch()
+        return model_calls.Reply("[[8]]", 1, 1)
+
+
+def test_each_call_is_made_once(spark, tmp_path):
+    (tmp_path / "calls").mkdir()
+    lines = [json.dumps({"conversations": [{"from": "human", "value": f"text {i}"}]}) for i in range(10)]
+    (tmp_path / "in.jsonl").write_text("\n".join(lines))
+    assert multi_turn.run(spark, f"file://{tmp_path}/in.jsonl", f"file://{tmp_path}/out", Counting(tmp_path / "calls"), max_samples=0) == 10
+    assert len(list((tmp_path / "calls").iterdir())) == 10
+
+
+def test_rows_without_the_key_are_no_samples(spark, tmp_path):
+    lines = ['{"other": 1}'] * 3 + [json.dumps({"conversations": [{"from": "human", "value": f"t{i}"}]}) for i in range(5)]
+    (tmp_path / "in.jsonl").write_text("\n".join(lines))
+    got = multi_turn.open_records(spark, f"file://{tmp_path}/in.jsonl", f"file://{tmp_path}/none", 2).collect()
+    assert sorted(json.loads(r.key)[0]["value"] for r in got) == ["t0", "t1"]
+
+
+def test_requests_of_one_key_are_one_call(spark, tmp_path):
+    df = spark.createDataFrame([("k", "a"), ("k", "a"), ("j", "b")], "key string, p string")
+    client = Counting(tmp_path)
+    got = model_calls.generate(df, F.col("key"), model_calls.user_message(F.col("p")), client, 2, pause=0).collect()
+    assert [r.samples for r in got] == [["[[8]]", "[[8]]"]] * 3 and len(list(tmp_path.iterdir())) == 4
+
+
+def test_first_of_each_by_key_and_position(spark):
+    df = spark.createDataFrame([(3, "B"), (5, "A"), (5, "B"), (5, "A"), (7, None), (7, None)], "pos long, k string")
+    assert sorted((r.pos, r.k or "") for r in dedup.first_of_each(df, F.col("k"), "pos").collect()) == [(3, "B"), (5, "A"), (7, ""), (7, "")]
+
+
+def test_vectors_that_cannot_be_compared(spark):
+    uneven = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0])], VECTORS)
+    with pytest.raises(ValueError, match="1 to 2"):
+        similarity.nearest(uneven, uneven, 1)
+    holes = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, None]), (3, None), (4, []), (5, [1.0, 0.1]), (6, [1.0, float("nan")])], VECTORS)
+    got = similarity.nearest(holes, holes, 2, exclude_self=True).collect()
+    assert sorted((r.query_id, r.match_id) for r in got) == [(1, 5), (5, 1)]
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_groups_of_blocks_equal_broadcast(spark, k):
+    r = np.random.default_rng(k)
+    rows = [(i, [float(x) for x in r.integers(-2, 3, 4)]) for i in range(150)]
+    df = spark.createDataFrame(rows, VECTORS)
+    key = lambda found: sorted((x.query_id, x.match_id, round(x.sim, 9), x["rank"]) for x in found.collect())
+    for q, own in ((df, True), (df.where("vec_id % 3 = 0"), False)):
+        want = key(similarity.nearest(q, df, k, exclude_self=own))
+        assert key(similarity.nearest(q, df, k, exclude_self=own, broadcast_bytes=0, block=16, group_bytes=1200)) == want
+
+
+def test_forests_of_any_size(spark):
+    r = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, [float(x) for x in r.normal(size=3)]) for i in range(200)], VECTORS)
+    small, large = (dedup.greedy_dedup(df, 0.8, small_edges=n).select("vec_id", "kept") for n in (10_000, 0))
+    assert sorted(small.collect()) == sorted(large.collect())
+
+
+def test_a_change_reruns_its_stage_and_those_after_it(spark, tmp_path):
+    def records(last):
+        said = ("alpha beta", "other words", last)
+        return spark.createDataFrame([(i, json.dumps({"conversations": [{"role": "user", "content": c}, {"role": "assistant", "content": "ok"}]})) for i, c in enumerate(said)], "idx long, orig string")
+
+    def states(rows, **changes):
+        settings = dict(run_name="r", work_dir=f"file://{tmp_path}", judge_client=model_calls.FakeClient(lambda p: "[[8]]"), generate_client=model_calls.FakeClient(), pause=0)
+        _, manifest = pipeline.run(rows, pipeline.Settings(**(settings | changes)))
+        return [s["state"] for s in manifest["stages"].values()]
+
+    assert states(records("third text")) == ["written"] * 5
+    assert states(records("third text")) == ["reused"] * 5
+    assert states(records("changed text")) == ["written"] * 5
+    assert states(records("third text"), low=6.0) == ["reused"] * 3 + ["written"] * 2
+    assert states(records("third text"), judge_client=model_calls.FakeClient(lambda p: "[[9]]")) == ["reused"] * 2 + ["written"] * 3
+    assert states(records("third text"), samples=2) == ["reused"] * 4 + ["written"]
+    found = [json.loads(p.read_text()) for p in (tmp_path / "r").glob("*/manifest-*.json")]
+    assert len(found) == 5 and all(m["filter_stats"]["kept"] == 3 for m in found)
+
+
+def test_parts_are_read_once(spark, tmp_path):
+    df = spark.range(40).select(F.col("id").alias("key"), F.lit("x").alias("p"))
+    seen = []
+
+    def work(part):
+        assert "range" not in part._jdf.queryExecution().analyzed().toString().lower()
+        seen.append(part.count())
+        return part
+
+    assert resume.run_in_parts(df, "key", work, f"file://{tmp_path}/p", part_rows=8).count() == 40 and sum(seen) == 40 and len(seen) == 5
+
+
+def test_cluster_run_writes_labels_and_summary(spark, tmp_path):
+    r = np.random.default_rng(3)
+    rows = [(i, f"f{i % 2}", [float(x) for x in r.normal(loc=10 * (i % 3), size=4)]) for i in range(90)] + [(99, "f0", None)]
+    df = spark.createDataFrame(rows, "id long, file string, embedding array<float>")
+    result = cluster.run(df, f"file://{tmp_path}/c", "file", F.col("id"), 2, 5, pca_dim=0)
+    assert result["best_k"] == 3 and result["n_samples"] == 90
+    out = spark.read.parquet(f"file://{tmp_path}/c/labels")
+    assert out.columns[-1] == "kmeans_label" and out.groupBy((F.col("id") % 3).alias("g")).agg(F.countDistinct("kmeans_label").alias("n")).where("n > 1").count() == 0
+    assert json.loads((tmp_path / "c" / "result.json").read_text())["best_k"] == 3
+
+
+def test_judge_client_defaults():
+    client = model_calls.judge_client(model_calls.EndpointPool.parse("http://x"), "m")
+    assert client.temperature == 0.0 and client.max_tokens == 12000 and len(client.stop) == 5
+
+
+def test_intermediate_tables_need_a_shared_folder(spark):
+    from siltbed.sources import scratch
+
+    class Context:
+        master, applicationId = "spark://host:7077", "a"
+
+    class Session:
+        sparkContext = Context()
+        conf = type("C", (), {"get": staticmethod(lambda key, default=None: default)})()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.shared_dir(Session())
+    table = scratch.cut(spark.range(3))
+    assert table.count() == 3
+    scratch.discard(table, None)
