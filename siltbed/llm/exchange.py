@@ -17,7 +17,6 @@ rows in order, as a scan's do; ``stable`` stores any other input first.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -35,6 +34,9 @@ _ASK = pa.schema([("grp", pa.int64()), ("block", pa.int64()), ("body", pa.binary
 _ANSWER = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("body", pa.binary())])
 BLOCK_BYTES = 2 << 20
 MAX_BLOCK_ROWS = 1 << 15
+#: Bytes that a group of the key space should not pass, and the most groups there are.
+GROUP_BYTES = 64 << 20
+MAX_GROUPS = 1 << 20
 #: A side is broadcast up to this many bytes of payload.
 BROADCAST_BYTES = 24 << 20
 
@@ -53,16 +55,30 @@ def unpack(body: bytes, *kinds) -> list[np.ndarray]:
     return out
 
 
-def n_groups(df: DataFrame) -> int:
-    """Two groups for each shuffle partition, which even out their hashing."""
-    return 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def plan_bytes(df: DataFrame) -> int:
+    """The optimiser's estimate of a table's size; for scans it follows the files' sizes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def n_groups(df: DataFrame, growth: float = 2.0) -> int:
+    """Two groups for each shuffle partition, which even out their hashing; more where groups would pass GROUP_BYTES.
+
+    ``growth``: bytes sent for a byte of the table.
+    """
+    least = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, min(MAX_GROUPS, int(plan_bytes(df) * growth) // GROUP_BYTES))
 
 
 def stable(docs: DataFrame) -> DataFrame:
-    """``docs`` itself if it is a plain scan, else a stored copy."""
-    plan = docs._jdf.queryExecution().optimizedPlan().toString()
-    nodes = set(re.findall(r"^[\s:+\-]*([A-Za-z]+)", plan, re.M))
-    return docs if nodes <= {"Relation", "Project", "Filter"} else cut(docs, "input")
+    """``docs`` itself if its plan is a scan with projections and filters, else a stored copy."""
+    todo, simple = [docs._jdf.queryExecution().optimizedPlan()], {"LogicalRelation", "Project", "Filter"}
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() not in simple:
+            return cut(docs, "input")
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return docs
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Media columns: baseline JPEG read and written with numpy.
 
 Reading: ``parse`` walks the markers of a baseline (sequential, Huffman, 8-bit)
-JPEG; ``dc_thumbnails`` Huffman-decodes the scans and rebuilds the luminance
+JPEG, of one scan or several; every image is read through it.  ``dc_thumbnails``
+Huffman-decodes the scan of the first component and rebuilds the luminance
 thumbnail from DC coefficients alone, one sample per 8 x 8 block.  Restart
 intervals are independent, so the decoder steps through all intervals of many
 images at once, one symbol of each per numpy call.
@@ -21,6 +22,7 @@ table gives an empty result.  Only the id and text columns are read.
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -143,32 +145,50 @@ def encode_samples(parts: list[bytes]) -> list[bytes]:
 
 
 class Frame:
-    """Header of one image: width, height, components [(id, h, v, quantiser of DC, DC table, AC table)], interval, scan bytes."""
+    """Header of one image and the scan that holds its first component.
+
+    components: [(id, h, v, quantiser of DC, DC table, AC table)] of that scan; grid: its MCUs across and down;
+    shape: blocks across and down of the first component; interval: MCUs between restarts; scan: its byte range.
+    """
 
     def __init__(self):
         self.width = self.height = self.interval = 0
         self.components: list[list] = []
-        self.scan = (0, 0)
+        self.grid = self.shape = self.scan = (0, 0)
         self.end = 0
 
     def layout(self) -> tuple:
         return (self.interval, tuple(tuple(c) for c in self.components))
 
 
+#: The end of a scan: a marker that is neither a stuffed byte, a restart nor a fill byte.
+_SCAN_END = re.compile(rb"\xff[^\x00\xd0-\xd7\xff]")
+
+
 def parse(data: bytes, at: int = 0) -> Frame:
-    """The frame that starts at ``at``; ``end`` is where the next image would start."""
+    """The frame that starts at ``at``, its markers walked one by one; ``end`` is where the next image would start."""
     if data[at : at + 2] != b"\xff\xd8":
         raise ValueError("no start of image")
-    f, quant, tables, shape = Frame(), {}, {}, {}
+    f, quant, tables, shape, order = Frame(), {}, {}, {}, []
+    interval = 0
     at += 2
     while True:
-        if data[at : at + 1] != b"\xff" or at + 4 > len(data):
+        if data[at : at + 1] != b"\xff" or at + 2 > len(data):
             raise ValueError("a marker is missing")
         marker = data[at + 1]
         if marker == 0xFF:
             at += 1
             continue
+        if marker == 0xD9:
+            if not f.components:
+                raise ValueError("no scan of the first component")
+            f.end = at + 2
+            return f
+        if at + 4 > len(data):
+            raise ValueError("a marker is missing")
         (n,) = struct.unpack_from(">H", data, at + 2)
+        if at + 2 + n > len(data):
+            raise ValueError("a segment is cut off")
         body = data[at + 4 : at + 2 + n]
         at += 2 + n
         if marker == 0xDB:
@@ -182,69 +202,50 @@ def parse(data: bytes, at: int = 0) -> Frame:
                 tables[body[0]] = (body[1:17], body[17 : 17 + m])
                 body = body[17 + m :]
         elif marker == 0xDD:
-            (f.interval,) = struct.unpack(">H", body)
+            (interval,) = struct.unpack(">H", body)
         elif marker in (0xC0, 0xC1):
             depth, f.height, f.width, count = struct.unpack_from(">BHHB", body)
-            if depth != 8 or not f.height or not f.width:
+            if depth != 8 or not f.height or not f.width or len(body) < 6 + 3 * count or not count:
                 raise ValueError("only 8-bit frames of known size are read")
             for k in range(count):
                 i, hv, q = body[6 + 3 * k : 9 + 3 * k]
                 shape[i] = (hv >> 4, hv & 15, q)
+                order.append(i)
         elif 0xC2 <= marker <= 0xCF and marker != 0xC8:
             raise ValueError("only baseline frames are read")
         elif marker == 0xDA:
-            if body[0] != len(shape):
-                raise ValueError("only frames of one scan are read")
-            for k in range(body[0]):
-                i, t = body[1 + 2 * k : 3 + 2 * k]
-                h, v, q = shape[i]
-                f.components.append([i, h, v, quant[q], tables[t >> 4], tables[16 | t & 15]])
-            break
-        elif marker == 0xD9:
-            raise ValueError("no scan")
-    stop = at
-    while True:
-        stop = data.find(b"\xff", stop)
-        if stop < 0 or stop + 1 >= len(data):
-            raise ValueError("the scan does not end")
-        nxt = data[stop + 1]
-        if nxt and not 0xD0 <= nxt <= 0xD7 and nxt != 0xFF:
-            break
-        stop += 1 if nxt == 0xFF else 2
-    f.scan, f.end = (at, stop), stop + 2
-    if data[stop + 1] != 0xD9:
-        raise ValueError("only frames of one scan are read")
-    return f
+            if not order:
+                raise ValueError("a scan comes before the frame")
+            parts = [(body[1 + 2 * k], body[2 + 2 * k]) for k in range(body[0])]
+            end = _SCAN_END.search(data, at)
+            if not end:
+                raise ValueError("the scan does not end")
+            if any(i not in shape for i, _ in parts):
+                raise ValueError("a scan of an unknown component")
+            if parts[0][0] == order[0]:
+                hmax, vmax = max(c[0] for c in shape.values()), max(c[1] for c in shape.values())
+                h, v, _ = shape[order[0]]
+                f.shape = (-(-(-(-f.width * h // hmax)) // 8), -(-(-(-f.height * v // vmax)) // 8))
+                whole = (-(-f.width // (8 * hmax)), -(-f.height // (8 * vmax)))
+                f.grid = f.shape if len(parts) == 1 else whole
+                try:
+                    f.components = [[i, *shape[i][:2], quant[shape[i][2]], tables[t >> 4], tables[16 | t & 15]] for i, t in parts]
+                except KeyError as e:
+                    raise ValueError("a table is missing") from e
+                f.interval, f.scan = interval, (at, end.start())
+            at = end.start()
 
 
 def frames(data: bytes) -> list[Frame]:
     """All images of a media value, one after the other."""
     out, at = [], 0
     while at < len(data):
-        f = _own_frame(data, at) or parse(data, at)
+        f = parse(data, at)
         out.append(f)
         at = f.end
     return out
 
 
-def _own_frame(data: bytes, at: int) -> Frame | None:
-    """A frame with the header written here, without walking its scan byte by byte."""
-    _, _, head, tail = _writer()
-    sof = at + len(head)
-    body = sof + 13 + len(tail)
-    if data[at:sof] != head or data[sof + 13 : body] != tail:
-        return None
-    f = Frame()
-    f.height, f.width = struct.unpack_from(">HH", data, sof + 5)
-    f.interval = ROW
-    f.components = [[1, 1, 1, 8, _huffman_spec(DC_LENGTHS), _huffman_spec(AC_LENGTHS)]]
-    stop = data.find(b"\xff\xd9", body)
-    if stop < 0:
-        raise ValueError("the scan does not end")
-    f.scan, f.end = (body, stop), stop + 2
-    return f
-
-
 def _decode(scan: np.ndarray, lanes: np.ndarray, mcus: np.ndarray, blocks: list[tuple[int, np.ndarray, np.ndarray]], n_comp: int) -> list[np.ndarray]:
     """DC values of each block of an MCU: arrays (lane, MCU).  ``blocks``: (component, DC table, AC table)."""
     padded = np.concatenate([scan, np.zeros(16, np.uint8)]).astype(np.uint64)
@@ -314,19 +315,14 @@ def dc_thumbnails(items: list[tuple[bytes, Frame]]) -> list[np.ndarray]:
     for k, (_, f) in enumerate(items):
         groups.setdefault(f.layout(), []).append(k)
     for (interval, comps), members in groups.items():
-        hmax, vmax = max(c[1] for c in comps), max(c[2] for c in comps)
         single = len(comps) == 1
         blocks = [(c, _lookup(*comp[4]), _lookup(*comp[5])) for c, comp in enumerate(comps) for _ in range(1 if single else comp[1] * comp[2])]
         scans, n_mcu, across = [], [], []
         for k in members:
             data, f = items[k]
             scans.append(data[f.scan[0] : f.scan[1]] + b"\x00\x00")
-            if single:
-                wide, high = -(-f.width // 8), -(-f.height // 8)
-            else:
-                wide, high = -(-f.width // (8 * hmax)), -(-f.height // (8 * vmax))
-            n_mcu.append(wide * high)
-            across.append(wide)
+            n_mcu.append(f.grid[0] * f.grid[1])
+            across.append(f.grid[0])
         raw = np.frombuffer(b"".join(scans), np.uint8)
         first = np.concatenate([[0], np.cumsum([len(s) for s in scans])])
         ff = np.flatnonzero(raw[:-1] == 255)
@@ -359,7 +355,7 @@ def dc_thumbnails(items: list[tuple[bytes, Frame]]) -> list[np.ndarray]:
                 grid = np.empty((own[0].shape[0] * v, own[0].shape[1] * h), np.int32)
                 for t, x in enumerate(own):
                     grid[t // h :: v, t % h :: h] = x
-            grid = grid[: -(-f.height // 8), : -(-f.width // 8)]
+            grid = grid[: f.shape[1], : f.shape[0]]
             q = comps[0][3]
             out[k] = np.clip((grid * q + 4) // 8 + 128, 0, 255).astype(np.uint8)
     return out

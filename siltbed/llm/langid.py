@@ -12,7 +12,8 @@ and the estimate is the score.
 Learning reads at most ``DOCS_PER_LANG`` documents of each language (those with
 the smallest hashes of their ids), whatever the table's size.  An n-gram enters a
 language's filter if at least ``min_share`` of the language's sample (and two
-documents) hold it.  At most ``MAX_LANGS`` languages are learned.
+documents) hold it.  Every label is learned: the filters take 1 MB for each 8
+languages.
 
 N-grams are windows of ``N`` characters of the lower-cased text in which each run
 of characters that are not letters is one space, with a space at both ends.
@@ -21,8 +22,9 @@ Cases: a null text, or one without a letter, is ``und`` with score 0.  A text
 whose n-grams are in no filter gets the language learned from most documents,
 with score 0; so does a text when ties leave the order of languages to decide.
 If nothing could be learned, everything is ``und``.  Texts of any length are read
-whole, in batches of bounded size.  Repeated rows give equal rows; an empty table
-gives an empty result.  Only the named columns are read.
+whole, in batches of bounded size.  Rows that repeat an id are learned each under
+its own label, and not at all under a null one.  Repeated rows give equal rows; an
+empty table gives an empty result.  Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -38,13 +40,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import bounded_batches, chunks, cut, lean
+from .shared import BROADCAST_ROWS, bounded_batches, chunks, cut, lean
 
 N = 4
 HASHES = 3
 POSITION_BITS = 20
 DOCS_PER_LANG = 400
-MAX_LANGS = 64
 MIN_SHARE = 0.01
 BATCH_CHARS = 1 << 18
 UNKNOWN = "und"
@@ -138,21 +139,22 @@ def learn(
 ) -> Filters:
     """Filters from a bounded sample of the rows where ``usable`` holds and lang is not null."""
     bounded_batches(docs.sparkSession)
-    rows = docs.where(usable & docs[lang_col].isNotNull() & docs[text_col].isNotNull())
-    rows = rows.select(docs[id_col].alias("_id"), docs[lang_col].cast("string").alias("_lang"))
-    found = rows.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(MAX_LANGS).collect()
+    spark = docs.sparkSession
+    labelled = docs.where(usable & docs[lang_col].isNotNull() & docs[text_col].isNotNull())
+    named = [docs[id_col].alias("_id"), docs[lang_col].cast("string").alias("_lang")]
+    rows = labelled.select(*named)
+    found = rows.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").collect()  # one row per label
+    if not found:
+        return Filters([], np.zeros((0, 1 << POSITION_BITS), np.uint8))
     # The smallest hashes of a language lie below this limit (four times as many do on average), so few rows are ranked.
     span = 1 << 31
-    below = F.lit(0)
-    for r in found:
-        below = F.when(F.col("_lang") == r["_lang"], F.lit(min(span, 4 * docs_per_lang * span // r["count"] + 1))).otherwise(below)
-    rows = rows.withColumn("_hash", F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(span))).where(F.col("_hash") < below)
+    limits = [(r["_lang"], min(span, 4 * docs_per_lang * span // r["count"] + 1)) for r in found]
+    below = F.broadcast(spark.createDataFrame(limits, "_lang string, _below long"))
+    rows = rows.withColumn("_hash", F.pmod(F.xxhash64("_id", F.lit(3)), F.lit(span))).join(below, "_lang").where("_hash < _below")
     order = Window.partitionBy("_lang").orderBy("_hash", "_id")
-    chosen = cut(rows.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= docs_per_lang).drop("_r", "_hash"), "lang-sample")
+    chosen = cut(rows.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= docs_per_lang).select("_id", "_lang"), "lang-sample")
     langs, sizes = [r["_lang"] for r in found], [min(docs_per_lang, r["count"]) for r in found]
     need = [max(2 if n > 1 else 1, min_share * n) for n in sizes]
-    if not langs:
-        return Filters([], np.zeros((0, 1 << POSITION_BITS), np.uint8))
     index = {x: i for i, x in enumerate(langs)}
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,14 +164,17 @@ def learn(
                     h = np.unique(ngrams([text])[0]).view(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), index[lang], np.int32)), pa.array(h)], names=["lang", "h"])
 
-    # At most docs_per_lang * MAX_LANGS ids, so the sample's side is broadcast.
-    texts = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"))
-    sample = F.broadcast(chosen.dropDuplicates(["_id"])).join(texts, "_id").select("_lang", "_text")
+    # At most docs_per_lang short rows per label, so the sample's side is broadcast while labels are few.
+    texts = labelled.select(*named, docs[text_col].alias("_text"))
+    ids = chosen.distinct()
+    ids = F.broadcast(ids) if docs_per_lang * len(langs) <= BROADCAST_ROWS else ids
+    both = (texts["_lang"] == ids["_lang"]) & texts["_id"].eqNullSafe(ids["_id"])
+    sample = texts.join(ids, both, "left_semi").select("_lang", "_text")
     counted = sample.mapInArrow(lean(grams), "lang int, h long").groupBy("lang", "h").count()
-    limits = F.element_at(F.array(*[F.lit(float(x)) for x in need]), F.col("lang") + 1)
+    enough = F.broadcast(spark.createDataFrame(list(enumerate(map(float, need))), "lang int, _need double"))
     bit = F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), F.col("lang") % 8 + 1)
     at = [F.shiftrightunsigned("h", k * POSITION_BITS).bitwiseAND(F.lit((1 << POSITION_BITS) - 1)) for k in range(HASHES)]
-    marks = counted.where(F.col("count") >= limits).select(
+    marks = counted.join(enough, "lang").where(F.col("count") >= F.col("_need")).select(
         F.floor(F.col("lang") / 8).cast("int").alias("slice"), F.explode(F.array(*[a.cast("int") for a in at])).alias("at"), bit.alias("bit")
     )
     # One row per filter position at most.
@@ -186,7 +191,7 @@ def identify(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(filters)  # POSITION_BITS and MAX_LANGS bound it by 8 MB
+    shared = spark.sparkContext.broadcast(filters)  # 1 MB for each 8 languages
     kept = docs.select(docs[id_col], *(keep or []))
     own = kept.columns.index(text_col) if text_col in kept.columns else -1
     rows = kept if own >= 0 else docs.select(docs[id_col], *(keep or []), docs[text_col].alias("_text"))

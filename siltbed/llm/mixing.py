@@ -5,9 +5,10 @@
 2. The words of each source form one stream (documents in a fixed hashed
    order), packed into blocks of ``block`` words; only the last one is shorter.
 3. Each source draws as many block slots as its target needs.  A pseudorandom
-   permutation over all slots deals them to output shards, so the counts of the
-   sources in a shard are multinomial counts given that their totals meet the
-   targets (so no source drifts from its target by chance).
+   permutation over all slots deals them to output shards.  A shard's counts of
+   the sources are so drawn from the multinomial law conditioned on the sources'
+   totals, which is the multivariate hypergeometric law: free multinomial draws
+   would miss the targets of small sources by chance.
 4. Slot j of a source maps to a block through the source's own pseudorandom
    permutation of its block indices, a new one for each pass over the source.
    The last slot of a source may take only the first words of its block, so the
@@ -190,12 +191,26 @@ class Mix:
         return both.withColumn("hi", F.least("hi", "take")).where("hi > lo").drop("take")
 
     def taken(self, id_col: str = "doc_id") -> DataFrame:
-        """One row per input row: id, size, source_size, target, taken."""
-        used = self.taken_pieces().groupBy("sid", "start").agg(F.sum(F.col("hi") - F.col("lo")).alias("_t"))
+        """One row per input row: id, size, source_size, target, taken, and where the mix puts it.
+
+        slots: the block slots that hold words of the row; first_shard: the least
+        output shard among them; placement: a checksum of all their shards,
+        positions and words.
+        """
+        where = F.xxhash64("shard", "position", "lo", "hi")
+        used = self.taken_pieces().groupBy("sid", "start")
+        used = used.agg(F.sum(F.col("hi") - F.col("lo")).alias("_t"), F.count("*").alias("slots"), F.min("shard").alias("first_shard"), F.bit_xor(where).alias("placement"))
         full = self.rows.where("size > 0").join(used.hint("merge"), ["sid", "start"], "left")
-        none = self.rows.where("size = 0").withColumn("_t", F.lit(0).cast("long"))
-        return full.unionByName(none).select(
-            F.col("_id").alias(id_col), "size", "source_size", "target", F.coalesce("_t", F.lit(0)).cast("long").alias("taken")
+        none = self.rows.where("size = 0")
+        return full.unionByName(none, allowMissingColumns=True).select(
+            F.col("_id").alias(id_col),
+            "size",
+            "source_size",
+            "target",
+            F.coalesce("_t", F.lit(0)).cast("long").alias("taken"),
+            F.coalesce("slots", F.lit(0)).cast("long").alias("slots"),
+            "first_shard",
+            F.coalesce("placement", F.lit(0)).cast("long").alias("placement"),
         )
 
 

@@ -9,14 +9,15 @@ from __future__ import annotations
 
 import ctypes
 import time
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.scratch import shared_dir
+from ..sources.scratch import cut, discard, shared_dir
+
+__all__ = ["cut", "discard", "shared_dir"]
 
 #: Rows of a side that may be broadcast.  The rows broadcast here hold a few
 #: numbers or short digests (at most about 200 bytes each), so 200,000 of them
@@ -85,26 +86,6 @@ def lean_group(f: Callable) -> Callable:
     return one if f.__code__.co_argcount == 1 else two
 
 
-def cut(df: DataFrame, name: str = "t") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, which ends its lineage."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/siltbed-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._siltbed_path = path
-    return out
-
-
-def discard(df: DataFrame) -> None:
-    """Delete the table behind a DataFrame made by ``cut`` once nothing reads it."""
-    path = getattr(df, "_siltbed_path", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        conf = df.sparkSession._jsc.hadoopConfiguration()
-        target.getFileSystem(conf).delete(target, True)
-
-
 def join_small(left: DataFrame, right: DataFrame, on: list[str], how: str, right_rows: int) -> DataFrame:
     """Join a counted side: broadcast up to BROADCAST_ROWS rows, else shuffle both sides."""
     if right_rows <= BROADCAST_ROWS:

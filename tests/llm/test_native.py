@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from siltbed.llm import exact_dedup, mixing, sharding
@@ -151,6 +152,56 @@ def test_mixed_blocks_hold_the_words(spark):
     assert mixing.shard_counts(mix).agg(F.sum("slots")).first()[0] == len(blocks)
 
 
+def spark_hash(*values):
+    """Spark's xxhash64 of integers: (value, width in bytes) each hashed with the one before as its seed."""
+    seed = 42
+    for v, width in values:
+        seed = xxhash.xxh64_intdigest(v.to_bytes(width, "little", signed=True), seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def plain_shuffle(x, n, *key):
+    for r in range(1, mixing.ROUNDS + 1):
+        partner = (spark_hash((11, 4), (r, 4), *key) % n - x) % n
+        if spark_hash((13, 4), (r, 4), (max(x, partner), 8), *key) & 1:
+            x = partner
+    return x
+
+
+def test_the_draw(spark):
+    """Every slot against a plain version of both permutations; and the rows' places against the slots."""
+    docs, own = unique(spark)
+    mix = mixing.Mix(docs, block=16, slots_per_shard=32)
+    sizes = Counter()
+    for _, t, _, s, _ in own:
+        sizes[s] += len(words(t))
+    target = expected_targets(sizes)
+    plan = []
+    for sid, s in enumerate(sorted(sizes, key=lambda s: (s is None, s.encode() if s is not None else b""))):
+        full, tail = divmod(sizes[s], 16)
+        left, j = round(target[s]), 0
+        while left > 0:
+            p, r = divmod(j, full + (tail > 0))
+            block = plain_shuffle(r, full, (1, 4), (sid, 4), (p, 8)) if r < full else full
+            take = min(left, 16 if block < full else tail)
+            plan.append((sid, block, take, p))
+            left, j = left - take, j + 1
+    want = Counter()
+    for k, slot in enumerate(plan):
+        x = plain_shuffle(k, len(plan), (1, 4))
+        want[(*slot, x // 32, x % 32)] += 1
+    got = Counter((r.sid, r.block, r["take"], r["pass"], r.shard, r.position) for r in mix.slots.collect())
+    assert got == want
+    counts = Counter()
+    for (sid, _, _, _, shard, _), n in want.items():
+        counts[shard, sid] += n
+    assert {(r.shard, r.sid): r.slots for r in mixing.shard_counts(mix).collect()} == counts
+    for r in mix.taken().collect():
+        assert (r.slots > 0) == (r.taken > 0) and (r.first_shard is not None) == (r.taken > 0)
+    other = mixing.Mix(docs, block=16, slots_per_shard=32, seed=2).taken()
+    assert {(r.doc_id, r.placement) for r in other.collect()} != {(r.doc_id, r.placement) for r in mix.taken().collect()}
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 1000])
 def test_shuffle_is_a_permutation(spark, n):
     got = spark.range(n).select(mixing.shuffled(F.col("id"), F.lit(n).cast("long"), F.lit(5)).alias("y")).collect()

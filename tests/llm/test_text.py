@@ -3,6 +3,7 @@
 import hashlib
 import os
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -50,6 +51,59 @@ def test_language_id_of_odd_rows(spark):
     assert langid.identify(empty(spark), filters).count() == 0
 
 
+def plain_language(train, texts, min_share=langid.MIN_SHARE):
+    """N-gram sets by language without filters: the share of a text's n-grams that a language knows."""
+
+    def grams(t):
+        s = " " + "".join(c if c.isalpha() else " " for c in (t or "").lower()) + " "
+        s = re.sub(" +", " ", s)
+        return [s[i : i + langid.N] for i in range(len(s) - langid.N + 1)]
+
+    known, n = {}, Counter(lang for lang, _ in train)
+    for lang in n:
+        held = Counter(g for x, t in train if x == lang for g in set(grams(t)))
+        known[lang] = {g for g, c in held.items() if c >= max(2 if n[lang] > 1 else 1, min_share * n[lang])}
+    order = sorted(n, key=lambda x: (-n[x], x))
+    out = []
+    for t in texts:
+        if not any(c.isalpha() for c in t or ""):
+            out.append({"und": 0.0})
+            continue
+        g = grams(t)
+        out.append({lang: sum(x in known[lang] for x in g) / max(1, len(g)) for lang in order})
+    return out
+
+
+def test_filters_against_plain_sets(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    filters = langid.learn(docs, F.lit(True))
+    own = docs.collect()
+    want = plain_language([(r.lang, r.text) for r in own if r.lang and r.text is not None], [r.text for r in own])
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs, filters).collect()}
+    for r, shares in zip(own, want, strict=True):
+        lang, score = got[r.doc_id]
+        assert shares[lang] >= max(shares.values()) - 0.01 and abs(score - shares[lang]) < 0.01
+
+
+def test_more_than_64_languages_are_learned(spark):
+    r = random.Random(4)
+    letters = [chr(0x4E00 + 40 * k + j) for k in range(100) for j in range(40)]
+    made = lambda k: " ".join("".join(r.choice(letters[40 * k : 40 * k + 40]) for _ in range(3)) for _ in range(400))
+    docs = spark.createDataFrame([(3 * k + j, made(k), f"l{k:03d}") for k in range(100) for j in range(3)], "doc_id long, text string, lang string")
+    filters = langid.learn(docs, F.lit(True))
+    assert len(filters.langs) == 100 and len(filters.slices) == 13
+    wrong = langid.identify(docs, filters, keep=[docs["lang"]]).where("lang <> lang_pred").count()
+    assert wrong == 0
+
+
+def test_rows_of_one_id_are_learned_under_their_own_labels(spark):
+    rows = [(1, "aaaa aaaa", "x"), (1, "bbbb bbbb", "y"), (1, "cccc cccc", None)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.identify(docs, langid.learn(docs, F.lit(True)), keep=[docs["text"]]).collect()
+    best = {r.text[0]: (r.lang_pred, r.score) for r in got}
+    assert best["a"][0] == "x" and best["b"][0] == "y" and best["a"][1] == best["b"][1] == 1.0 and best["c"][1] == 0.0
+
+
 def test_filters_return_all_languages_and_correct_for_chance():
     r = np.random.default_rng(1)
     bits, size = 19, 1 << langid.POSITION_BITS
@@ -172,8 +226,7 @@ def scalar_thumbnail(data):
     parts.append(bytes(cur))
     single = len(f.components) == 1
     hmax, vmax = max(c[1] for c in f.components), max(c[2] for c in f.components)
-    across = -(-f.width // (8 if single else 8 * hmax))
-    down = -(-f.height // (8 if single else 8 * vmax))
+    across, down = f.grid if single else (-(-f.width // (8 * hmax)), -(-f.height // (8 * vmax)))
     h, v = (1, 1) if single else f.components[0][1:3]
     grid, m = np.zeros((down * v, across * h), int), 0
     for part in parts:
@@ -194,12 +247,12 @@ def scalar_thumbnail(data):
                         k += (rs >> 4) + 1
                         b.bits(rs & 15)
             m += 1
-    grid = grid[: -(-f.height // 8), : -(-f.width // 8)]
+    grid = grid[: f.shape[1], : f.shape[0]]
     return np.clip((grid * f.components[0][3] + 4) // 8 + 128, 0, 255).astype(np.uint8)
 
 
-def made_jpeg(r, comps, width, height, interval):
-    """A JPEG with random coefficients, written symbol by symbol."""
+def made_jpeg(r, comps, width, height, interval, apart=False):
+    """A JPEG with random coefficients, written symbol by symbol; ``apart``: each component in a scan of its own, the first last."""
     dc, ac = jpeg._huffman_spec({k: 5 for k in range(12)}), jpeg._huffman_spec({0: 2, 0xF0: 9} | {run << 4 | s: 8 for run in range(4) for s in range(1, 9)})
     codes = jpeg._codes(*dc), jpeg._codes(*ac)
     seg = lambda m, body: bytes([255, m]) + (len(body) + 2).to_bytes(2, "big") + body
@@ -207,10 +260,7 @@ def made_jpeg(r, comps, width, height, interval):
     out += seg(0xC0, bytes([8]) + height.to_bytes(2, "big") + width.to_bytes(2, "big") + bytes([len(comps)]) + b"".join(bytes([k + 1, h << 4 | v, 0]) for k, (h, v) in enumerate(comps)))
     out += seg(0xC4, b"\x00" + dc[0] + dc[1] + b"\x10" + ac[0] + ac[1])
     out += seg(0xDD, interval.to_bytes(2, "big")) if interval else b""
-    out += seg(0xDA, bytes([len(comps)]) + b"".join(bytes([k + 1, 0]) for k in range(len(comps))) + bytes([0, 63, 0]))
-    single = len(comps) == 1
     hm, vm = max(h for h, _ in comps), max(v for _, v in comps)
-    mcus = -(-width // (8 if single else 8 * hm)) * -(-height // (8 if single else 8 * vm))
     bits, body, restarts = "", b"", 0
 
     def put(kind, symbol, extra=0, n=0):
@@ -225,26 +275,52 @@ def made_jpeg(r, comps, width, height, interval):
         body += raw.replace(b"\xff", b"\xff\0")
         bits = ""
 
-    for m in range(mcus):
-        if interval and m and m % interval == 0:
-            flush()
-            body += bytes([255, 0xD0 + restarts % 8])
-            restarts += 1
-        for h, v in comps:
-            for _ in range(1 if single else h * v):
-                s = r.randint(0, 5)
-                put(0, s, r.getrandbits(s) if s else 0, s)
-                k = 1
-                while k < 64 and r.random() < 0.7:
-                    run, s = r.randint(0, 3), r.randint(1, 8)
-                    if k + run >= 64:
-                        break
-                    put(1, run << 4 | s, r.getrandbits(s), s)
-                    k += run + 1
-                if k < 64:
-                    put(1, 0)
-    flush()
-    return out + body + b"\xff\xd9"
+    for scan in [[k] for k in reversed(range(len(comps)))] if apart else [list(range(len(comps)))]:
+        out += seg(0xDA, bytes([len(scan)]) + b"".join(bytes([k + 1, 0]) for k in scan) + bytes([0, 63, 0]))
+        single, body, restarts = len(scan) == 1, b"", 0
+        h, v = comps[scan[0]]
+        wide, high = (-(-width * h // hm), -(-height * v // vm)) if single else (width, height)
+        mcus = -(-wide // (8 if single else 8 * hm)) * -(-high // (8 if single else 8 * vm))
+        for m in range(mcus):
+            if interval and m and m % interval == 0:
+                flush()
+                body += bytes([255, 0xD0 + restarts % 8])
+                restarts += 1
+            for h, v in [comps[k] for k in scan]:
+                for _ in range(1 if single else h * v):
+                    s = r.randint(0, 5)
+                    put(0, s, r.getrandbits(s) if s else 0, s)
+                    k = 1
+                    while k < 64 and r.random() < 0.7:
+                        run, s = r.randint(0, 3), r.randint(1, 8)
+                        if k + run >= 64:
+                            break
+                        put(1, run << 4 | s, r.getrandbits(s), s)
+                        k += run + 1
+                    if k < 64:
+                        put(1, 0)
+        flush()
+        out += body
+    return out + b"\xff\xd9"
+
+
+@pytest.mark.parametrize("comps", [[(1, 1), (1, 1), (1, 1)], [(2, 2), (1, 1), (1, 1)], [(2, 1), (1, 2)]])
+def test_components_in_scans_of_their_own(comps):
+    r = random.Random(9)
+    images = [made_jpeg(r, comps, w, h, interval, apart=True) for w, h in ((8, 8), (50, 33), (17, 90)) for interval in (0, 3)]
+    frames = [jpeg.parse(x) for x in images]
+    assert all(f.end == len(x) for f, x in zip(frames, images, strict=True))
+    for x, thumb in zip(images, jpeg.dc_thumbnails(list(zip(images, frames, strict=True))), strict=True):
+        assert np.array_equal(thumb, scalar_thumbnail(x))
+
+
+def test_every_image_is_parsed(monkeypatch):
+    def refuse(data, at=0):
+        raise ValueError("parsed")
+
+    monkeypatch.setattr(jpeg, "parse", refuse)
+    with pytest.raises(ValueError, match="parsed"):
+        jpeg._described(["a text"])
 
 
 @pytest.mark.parametrize("comps", [[(1, 1)], [(1, 1), (1, 1), (1, 1)], [(2, 2), (1, 1), (1, 1)], [(2, 1), (1, 1), (1, 1)]])
