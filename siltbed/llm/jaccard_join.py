@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 from . import wordarrays as wa
 from .components import components
 from .exchange import ASK_SCHEMA, answered, ask_rows, blocks, join_payload, keyed, n_groups, pack, stable, unpack
-from .shared import BROADCAST_ROWS, WORK_BYTES, chunks, cut, discard, lean, lean_group
+from .shared import BROADCAST_ROWS, WORK_BYTES, chunks, cut, discard, join_by_size, lean, lean_group
 
 SHINGLE = 5
 PERCENT = 75
@@ -59,6 +59,8 @@ BANDS = 2
 BUCKET = 1000
 LIST = 2000
 SMALL = 400
+#: Lists of one key that meet in a task.
+KEY_LISTS = 256
 LEAF = 16
 FAN = 8
 BLOCK_ROWS = 4096
@@ -454,10 +456,18 @@ def _list_links(open_: DataFrame, reps: DataFrame) -> DataFrame:
                 out.append((names[mine[i]], names[mine[j]]))
         return pa.table({"a": pa.array([x[0] for x in out], pa.int64()), "b": pa.array([x[1] for x in out], pa.int64())})
 
-    lists = open_.select(F.pmod(F.xxhash64("key"), F.lit(16 * groups)).alias("grp"), "members")
+    # The lists of a key that has many are dealt to several tasks.
+    counts = cut(open_.groupBy("key").agg(F.count("*").alias("c")), "list-counts")
+    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    limit = max(KEY_LISTS, -(-total // BROADCAST_ROWS))
+    many = F.broadcast(counts.where(F.col("c") > limit))
+    salt = F.coalesce(F.pmod(F.xxhash64("members"), F.ceil(F.col("c") / limit)), F.lit(0))
+    lists = open_.join(many, "key", "left").select(F.pmod(F.xxhash64("key", salt), F.lit(16 * groups)).alias("grp"), "members")
     pairs = lists.mapInArrow(lean(nodes), "grp long, node long").distinct()
     sets = pairs.join(reps.select("node", "comp", "tokens").hint("merge"), "node")
-    return cut(lists.groupBy("grp").cogroup(sets.groupBy("grp")).applyInArrow(lean_group(run), "a long, b long"), "links")
+    out = cut(lists.groupBy("grp").cogroup(sets.groupBy("grp")).applyInArrow(lean_group(run), "a long, b long"), "links")
+    discard(counts)
+    return out
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -468,12 +478,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_
     alive = counted.where("alive").select("k1", "k2").distinct()
     sets = cut(_sets(rows, alive, shingle), "jaccard-sets")
 
-    # Classes of equal sets, named by their least id; one set of each goes on.
-    classes = cut(sets.groupBy("s1", "s2").agg(F.min("id").alias("node"), F.count("*").alias("c")), "jaccard-classes")
-    reps = sets.join(classes.hint("merge"), ["s1", "s2"]).where("id = node").drop("id", "s1", "s2", "c").dropDuplicates(["node", "n", "m0"])
+    # Classes of equal sets, named by their least id.  One set of each goes on: it is found by class and id, so the
+    # sets of many copies do not meet; only their ids do, and not in one task.
+    classes = cut(sets.groupBy("s1", "s2").agg(F.min("id").alias("node"), F.count("*").alias("_n")), "jaccard-classes")
+    least = classes.select("s1", "s2", F.col("node").alias("id"))
+    reps = sets.join(least.hint("merge"), ["s1", "s2", "id"], "left_semi").withColumnRenamed("id", "node").drop("s1", "s2").dropDuplicates(["node", "n", "m0"])
     reps = cut(reps, "jaccard-reps")
-    equal = sets.join(classes.hint("merge"), ["s1", "s2"]).where("id <> node").select(F.col("id").alias("a"), F.col("node").alias("b")).distinct()
-    equal = cut(equal, "jaccard-equal")
+    equal = join_by_size(sets.select("id", "s1", "s2"), classes.where("_n > 1"), ["s1", "s2"]).where("id <> node")
+    equal = cut(equal.select(F.col("id").alias("a"), F.col("node").alias("b")).distinct(), "jaccard-equal")
 
     links = _first_links(reps)
     near = cut(components(links), "jaccard-near")
@@ -483,9 +495,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_
     more = _list_links(open_, known)
     all_links = links.unionByName(more).unionByName(equal)
     final = components(all_links)
-    discard(sets)
-    discard(reps)
-    discard(known)
+    final = cut(final, "jaccard-components")
+    discard(sets, classes, reps, equal, links, near, known, open_, more)
     n = final.count()
     out = counted.join(F.broadcast(final) if n <= BROADCAST_ROWS else final.hint("merge"), counted["id"] == final["node"], "left")
     real = F.when(F.col("id") != NULL_ID, F.col("id")).cast(id_type)

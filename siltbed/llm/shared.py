@@ -93,6 +93,22 @@ def join_small(left: DataFrame, right: DataFrame, on: list[str], how: str, right
     return left.join(right, on, how)
 
 
+def join_by_size(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join with a stored side of one row per key, whose column ``_n`` counts the key's rows on the left.
+
+    A small side is broadcast.  Of a large one, the keys of many rows are broadcast (few can be large), so that no
+    shuffle key is hot, and the others are shuffled.  ``_n`` is dropped.
+    """
+    keys, rows = right.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    if keys <= BROADCAST_ROWS:
+        return left.join(F.broadcast(right.drop("_n")), on)
+    limit = max(1000, -(-rows // BROADCAST_ROWS))
+    large = right.where(F.col("_n") >= limit).drop("_n")
+    small = right.where(F.col("_n") < limit).drop("_n")
+    rest = left.join(F.broadcast(large.select(*on)), on, "left_anti").join(small.hint("merge"), on)
+    return left.join(F.broadcast(large), on).unionByName(rest)
+
+
 def chunks(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
     """Runs [a, b) of consecutive items of at most ``limit`` bytes each, single larger items alone."""
     start = total = 0
