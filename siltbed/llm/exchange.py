@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import wordarrays as wa
 from .shared import bounded_batches, chunks, cut, lean_group
 
 ASK_SCHEMA = "grp long, block long, body binary"
@@ -136,6 +137,64 @@ def ask_batch(block: int, groups: list[int], directory: bytes, bodies: list[byte
     )
 
 
+def local_counts(keys: np.ndarray, in_order: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """For each entry: whether it stands for its key, and whether the key occurs again.
+
+    One entry stands for each key, always the same one; the first with ``in_order``, which takes longer.
+    """
+    order = np.argsort(keys, kind="stable" if in_order else None)
+    s = keys[order]
+    same = s[1:] == s[:-1]
+    again, later = np.zeros(len(s), bool), np.zeros(len(s), bool)
+    again[1:] |= same
+    again[:-1] |= same
+    later[1:] = same
+    out_again, out_first = np.empty_like(again), np.empty_like(later)
+    out_again[order], out_first[order] = again, ~later
+    return out_first, out_again
+
+
+def repeat_asks(block: int, keys: np.ndarray, groups: int, directory: bytes) -> pa.RecordBatch:
+    """Asks which of a block's keys repeat: per key once, 31 bits of its hash, whether the block holds it twice, and
+    its number among the keys sent, as the step from the one before in its group."""
+    first, again = local_counts(keys)
+    sent = np.flatnonzero(first)
+    h = wa.mix(keys[sent] ^ wa.U(0x2545F4914F6CDD1D))
+    cell = (h & wa.U(0xFFFFFFFE)).astype(np.uint32) | again[sent]
+    group = (h >> wa.U(33)) % wa.U(groups)
+    order = np.argsort(group.astype(np.uint16 if groups <= 1 << 16 else np.uint32), kind="stable")  # 16-bit keys are sorted by radix
+    group, cell = group[order].astype(np.int64), cell[order]
+    edge = np.flatnonzero(np.diff(group)) + 1
+    names, bodies = [], []
+    for lo, hi in zip([0, *edge.tolist()], [*edge.tolist(), len(group)], strict=True) if len(group) else []:
+        step = np.diff(order[lo:hi], prepend=0)
+        names.append(int(group[lo]))
+        bodies.append(pack(cell[lo:hi], step.astype(np.min_scalar_type(int(step.max())))))
+    return ask_batch(block, names, directory, bodies)
+
+
+def repeat_answers(block: list[int], bodies: list[bytes]) -> list[bytes | None]:
+    """Answers: the numbers of the keys that two blocks hold, or one twice."""
+    parts = []
+    for body in bodies:
+        cell, step = unpack(body, np.uint32, np.uint8)
+        width = len(step) // len(cell)
+        parts.append((cell, np.cumsum(step.view(f"u{width}"), dtype=np.uint32)))
+    cell = np.concatenate([p[0] for p in parts])
+    order = np.argsort(cell)
+    s = cell[order]
+    new = np.concatenate([[0], np.flatnonzero(s[1:] >> 1 != s[:-1] >> 1) + 1])
+    count = np.add.reduceat(1 + (s & 1).astype(np.int64), new)
+    hit = np.empty(len(s), bool)
+    hit[order] = np.repeat(count >= 2, np.diff(np.concatenate([new, [len(s)]])))
+    out, at = [], 0
+    for own, number in parts:
+        got = number[hit[at : at + len(own)]]
+        at += len(own)
+        out.append(pack(got) if len(got) else None)
+    return out
+
+
 def answered(
     asks: DataFrame, merge: Callable[[list[int], list[bytes]], list[bytes | None]], combine: Callable[[bytes, list[bytes]], pa.RecordBatch | None], schema: str
 ) -> DataFrame:

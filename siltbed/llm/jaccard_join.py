@@ -426,9 +426,17 @@ def _open_lists(reps: DataFrame) -> DataFrame:
     return found.distinct()
 
 
-def _list_links(open_: DataFrame, reps: DataFrame) -> DataFrame:
-    """Links (a, b) inside the open lists.  Lists with a key meet, so a set goes once to each key's task."""
-    groups = n_groups(reps)
+def dealt(open_: DataFrame, groups: int) -> tuple[DataFrame, DataFrame]:
+    """((grp, members), (grp, node)): stored lists (key, members) dealt to groups, and the nodes that each group wants.
+
+    Lists with a key meet, so a node goes once to each key's task; the lists of a key that has many go to several.
+    """
+    counts = open_.groupBy("key").agg(F.count("*").alias("c"))
+    total = open_.count()
+    limit = max(KEY_LISTS, -(-total // BROADCAST_ROWS))
+    many = F.broadcast(counts.where(F.col("c") > limit))
+    salt = F.coalesce(F.pmod(F.xxhash64("members"), F.ceil(F.col("c") / limit)), F.lit(0))
+    lists = open_.join(many, "key", "left").select(F.pmod(F.xxhash64("key", salt), F.lit(groups)).alias("grp"), "members")
 
     def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -438,6 +446,13 @@ def _list_links(open_: DataFrame, reps: DataFrame) -> DataFrame:
             pair = np.unique(pair, axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["grp", "node"])
 
+    return lists, lists.mapInArrow(lean(nodes), "grp long, node long").distinct()
+
+
+def _list_links(open_: DataFrame, reps: DataFrame) -> DataFrame:
+    """Links (a, b) inside the open lists."""
+    lists, pairs = dealt(open_, 16 * n_groups(reps))
+
     def run(lists: pa.Table, sets: pa.Table) -> pa.Table:
         names = sets.column("node").to_pylist()
         index = {x: i for i, x in enumerate(names)}
@@ -456,18 +471,8 @@ def _list_links(open_: DataFrame, reps: DataFrame) -> DataFrame:
                 out.append((names[mine[i]], names[mine[j]]))
         return pa.table({"a": pa.array([x[0] for x in out], pa.int64()), "b": pa.array([x[1] for x in out], pa.int64())})
 
-    # The lists of a key that has many are dealt to several tasks.
-    counts = cut(open_.groupBy("key").agg(F.count("*").alias("c")), "list-counts")
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    limit = max(KEY_LISTS, -(-total // BROADCAST_ROWS))
-    many = F.broadcast(counts.where(F.col("c") > limit))
-    salt = F.coalesce(F.pmod(F.xxhash64("members"), F.ceil(F.col("c") / limit)), F.lit(0))
-    lists = open_.join(many, "key", "left").select(F.pmod(F.xxhash64("key", salt), F.lit(16 * groups)).alias("grp"), "members")
-    pairs = lists.mapInArrow(lean(nodes), "grp long, node long").distinct()
     sets = pairs.join(reps.select("node", "comp", "tokens").hint("merge"), "node")
-    out = cut(lists.groupBy("grp").cogroup(sets.groupBy("grp")).applyInArrow(lean_group(run), "a long, b long"), "links")
-    discard(counts)
-    return out
+    return cut(lists.groupBy("grp").cogroup(sets.groupBy("grp")).applyInArrow(lean_group(run), "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

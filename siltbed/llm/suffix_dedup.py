@@ -42,9 +42,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordarrays as wa
-from .exchange import ASK_SCHEMA, answered, ask_batch, blocks, join_payload, keyed, n_groups, pack, stable, unpack
+from .exchange import ASK_SCHEMA, answered, ask_batch, blocks, join_payload, keyed, local_counts, n_groups, pack, repeat_answers, repeat_asks, stable, unpack
 from .shared import WORK_BYTES, chunks, cut, discard, lean
-from .window_dedup import FOUND_SCHEMA, found_batch, local_counts, long_arrays, merge_sketch, repeated_entries, sketch_asks
+from .window_dedup import FOUND_SCHEMA, found_batch, long_arrays
 
 LENGTH = 100
 GRAM = 32
@@ -234,16 +234,19 @@ def candidates(rows: DataFrame, length: int, gram: int) -> DataFrame:
             rank[entry[first]] = np.arange(int(first.sum()))
             k1, k2 = long_arrays(part)
             directory = pack(k1, k2, text.astype(np.uint16), where.astype(np.uint32), size.astype(np.uint16), rank[entry].astype(np.uint32))
-            yield sketch_asks(block, keys, groups, 1, directory)
+            yield repeat_asks(block, keys, groups, directory)
 
     def combine(directory: bytes, answers: list[bytes]) -> pa.RecordBatch:
         k1, k2, text, where, n, entry = unpack(directory, np.int64, np.int64, np.uint16, np.uint32, np.uint16, np.uint32)
-        hit = repeated_entries(int(entry.max()) + 1, answers, 1)[entry]
+        hit = np.zeros(int(entry.max()) + 1, bool)
+        for body in answers:
+            hit[unpack(body, np.uint32)[0]] = True
+        hit = hit[entry]
         a = where[hit].astype(np.int64)
         return found_batch(k1, k2, text[hit], a, a + n[hit])
 
     asks = rows.select("k1", "k2", "text").mapInArrow(lean(ask), ASK_SCHEMA)
-    return answered(asks, merge_sketch, combine, FOUND_SCHEMA)
+    return answered(asks, repeat_answers, combine, FOUND_SCHEMA)
 
 
 _KINDS = (np.uint64, np.int64, np.uint16, np.uint32, np.uint16, np.uint8, np.uint8)

@@ -32,7 +32,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 
 from . import wordarrays as wa
-from .exchange import ASK_SCHEMA, answered, ask_batch, ask_rows, blocks, join_payload, keyed, n_groups, pack, stable, unpack
+from .exchange import ASK_SCHEMA, answered, ask_batch, ask_rows, blocks, join_payload, keyed, local_counts, n_groups, pack, stable, unpack
 from .shared import WORK_BYTES, chunks, cut, discard, lean
 
 WINDOW = 35
@@ -64,23 +64,6 @@ def cells(keys: np.ndarray, row: int, groups: int) -> tuple[np.ndarray, np.ndarr
     return ((h >> wa.U(33)) % wa.U(groups)).astype(np.int64), (h & wa.U(0xFFFFFFFF)).astype(np.uint32)
 
 
-def local_counts(keys: np.ndarray, in_order: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """For each entry: whether it stands for its key, and whether the key occurs again.
-
-    One entry stands for each key, always the same one; the first with ``in_order``, which takes longer.
-    """
-    order = np.argsort(keys, kind="stable" if in_order else None)
-    s = keys[order]
-    same = s[1:] == s[:-1]
-    again, later = np.zeros(len(s), bool), np.zeros(len(s), bool)
-    again[1:] |= same
-    again[:-1] |= same
-    later[1:] = same
-    out_again, out_first = np.empty_like(again), np.empty_like(later)
-    out_again[order], out_first[order] = again, ~later
-    return out_first, out_again
-
-
 def sketch_asks(block: int, keys: np.ndarray, groups: int, depth: int, directory: bytes) -> pa.RecordBatch:
     """A block's partition sketch: per key once, its cell of each row and whether the block holds it twice."""
     first, again = local_counts(keys)
