@@ -8,11 +8,13 @@ Every byte that a repeated string covers goes.
    the least hash (leftmost of equals).  Equal strings have equal anchors at
    equal offsets.  Anchors are counted like the windows of ``window_dedup``, by
    sparse sketches that never underestimate, and only strings whose anchors
-   repeat go on.  Copies of whole documents are found by hash and go on once.
+   repeat go on.  Copies of whole documents, found by hash and compared, go on
+   once.
 2. Suffix buckets.  The suffixes that start such strings, with as much text as
    comparing them takes, go to the bucket of their anchor; all suffixes that
    share ``length`` bytes share a bucket.  So buckets cut the suffixes by content
-   and not by alphabet: order between buckets is not needed here.
+   and not by alphabet: order between buckets is not needed here.  What a block of
+   texts holds twice is sorted there first, and sent once.
 3. Blockwise construction.  A task sorts one bucket's suffixes at a time (small
    buckets together, up to ``BUCKET`` suffixes).  The ranks of a difference-cover
    sample of the bucket's text are computed first; suffixes are sorted by their
@@ -43,7 +45,7 @@ from pyspark.sql import functions as F
 
 from . import wordarrays as wa
 from .exchange import ASK_SCHEMA, answered, ask_batch, blocks, join_payload, keyed, local_counts, n_groups, pack, repeat_answers, repeat_asks, stable, unpack
-from .shared import WORK_BYTES, chunks, cut, discard, lean
+from .shared import WORK_BYTES, chunks, cut, discard, join_by_size, lean
 from .window_dedup import FOUND_SCHEMA, found_batch, long_arrays
 
 LENGTH = 100
@@ -269,41 +271,43 @@ def repeated(rows: DataFrame, found: DataFrame, length: int, gram: int) -> DataF
             s = Strings(raw, length, gram)
             text_of, from_ = np.array(text_of), np.array(from_)
             ids = part.column("id").fill_null(NULL_ID).to_numpy()
-            at = wa.expand(s.first, s.first + s.n)
-            piece = np.repeat(np.arange(len(raw)), s.n)
-            own = wa.rolling(s.values, length, 2)[at]
-            where = at - s.first[piece] + from_[piece]
-            # Inside the block: the earliest copy of a string is sent, later ones are answered here.
-            order = np.lexsort((where, ids[text_of[piece]], own))
-            again = np.zeros(len(at), bool)
-            again[order[1:]] = own[order[1:]] == own[order[:-1]]
-            text = text_of[piece]
             k1, k2 = long_arrays(part)
-            ra, rb = wa.ranges(np.flatnonzero(again))
-            ra, rb = split_runs(ra, rb, piece, where)
-            directory = pack(k1, k2, text[ra].astype(np.uint16), where[ra].astype(np.uint32), (rb - ra).astype(np.uint32))
-            keep = np.flatnonzero(~again)
-            at, piece, where, text = at[keep], piece[keep], where[keep], text[keep]
-            anchor = s.anchor[at]
-            new = np.flatnonzero((np.diff(anchor) != 0) | (np.diff(piece) != 0) | (np.diff(at) != 1)) + 1
-            a, b = np.concatenate([[0], new]), np.concatenate([new, [len(at)]])
-            key = s.grams[anchor[a]]
+            a, b, piece = s.runs()
+            if not len(a):
+                continue
+            key, text, where, lead = s.grams[s.anchor[a]], text_of[piece], a - s.first[piece] + from_[piece], s.anchor[a] - a
+            # Anchors that the block holds again are sorted here: the earliest copy of a string is sent, later ones are known.
+            _, again = local_counts(key)
+            runs = np.flatnonzero(again)
+            n, a_of = b - a, a
+            run, x, y = sorted_hits(key[runs], ids[text[runs]], where[runs], n[runs], a[runs], lead[runs], s.bytes, length)
+            run = runs[run]
+            directory = pack(k1, k2, text[run].astype(np.uint16), (where[run] + x).astype(np.uint32), (y - x).astype(np.uint32))
+            known = np.zeros(len(s.bytes) + 1, bool)
+            known[wa.expand(a[run] + x, a[run] + y)] = True
+            at = wa.expand(a, b)
+            of = np.repeat(np.arange(len(a)), n)
+            left = ~known[at]
+            at, of = at[left], of[left]
+            new = np.flatnonzero((np.diff(of) != 0) | (np.diff(at) != 1)) + 1
+            first, stop = np.concatenate([[0], new]), np.concatenate([new, [len(at)]])
+            of, a, n = of[first], at[first], stop - first
+            key, text, lead, where = key[of], text[of], s.anchor[a] - a, where[of] + (a - a_of[of])
             group = ((wa.mix(key) >> wa.U(33)) % wa.U(groups)).astype(np.int64)
             order = np.argsort(group, kind="stable")
-            a, b, key, group = a[order], b[order], key[order], group[order]
+            a, n, key, text, where, lead, group = (z[order] for z in (a, n, key, text, where, lead, group))
             edge = np.flatnonzero(np.diff(group)) + 1
             names, bodies = [], []
             for lo, hi in zip([0, *edge.tolist()], [*edge.tolist(), len(a)], strict=True):
-                x, n = a[lo:hi], b[lo:hi] - a[lo:hi]
                 bodies.append(
                     pack(
                         key[lo:hi],
-                        ids[text[x]],
-                        text[x].astype(np.uint16),
-                        where[x].astype(np.uint32),
-                        n.astype(np.uint16),
-                        (anchor[x] - at[x]).astype(np.uint8),
-                        s.bytes[wa.expand(at[x], at[x] + n + length - 1)],
+                        ids[text[lo:hi]],
+                        text[lo:hi].astype(np.uint16),
+                        where[lo:hi].astype(np.uint32),
+                        n[lo:hi].astype(np.uint16),
+                        lead[lo:hi].astype(np.uint8),
+                        s.bytes[wa.expand(a[lo:hi], a[lo:hi] + n[lo:hi] + length - 1)],
                     )
                 )
                 names.append(int(group[lo]))
@@ -317,22 +321,7 @@ def repeated(rows: DataFrame, found: DataFrame, length: int, gram: int) -> DataF
         size = n + length - 1
         offset = np.cumsum(size) - size
         owner = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
-        order = np.argsort(key, kind="stable")
-        keys = key[order]
-        edge = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        filled = np.cumsum(n[order])
-        hits: list[tuple[np.ndarray, ...]] = []
-        at = 0
-        while at < len(order):
-            # Whole anchors up to BUCKET suffixes, one at least.
-            done = filled[at - 1] if at else 0
-            stop = int(np.searchsorted(filled, done + BUCKET, "right"))
-            later = edge[edge > at]
-            ends = later[later <= stop]
-            stop = len(order) if filled[-1] - done <= BUCKET else int(ends[-1] if len(ends) else later[0] if len(later) else len(order))
-            hits.append(_bucket(order[at:stop], ids, start, n, size, offset, lead, data, length))
-            at = stop
-        run, a, b = (np.concatenate([h[i] for h in hits]) for i in range(3))
+        run, a, b = sorted_hits(key, ids, start, n, offset, lead, data, length)
         by = owner[run]
         out: list[bytes | None] = []
         for k in range(len(parts)):
@@ -363,6 +352,30 @@ def split_runs(a: np.ndarray, b: np.ndarray, piece: np.ndarray, where: np.ndarra
     return starts, np.minimum(np.concatenate([starts[1:], [b[-1]]]), b[run])
 
 
+def sorted_hits(key, ids, start, n, offset, lead, data, length) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(run, first, end) of the strings of each run that are repeated, by suffix sorting of one bucket at a time.
+
+    Runs: their anchor's hash, document, place in it, number of strings, place in ``data``, and the anchor's distance.
+    """
+    order = np.argsort(key, kind="stable")
+    keys = key[order]
+    edge = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    size, filled = n + length - 1, np.cumsum(n[order])
+    hits: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.int64),) * 3]
+    at = 0
+    while at < len(order):
+        # Whole anchors up to BUCKET suffixes, one at least.
+        done = filled[at - 1] if at else 0
+        stop = int(np.searchsorted(filled, done + BUCKET, "right"))
+        if stop < len(order):
+            later = edge[np.searchsorted(edge, at, "right") :]
+            ends = later[: np.searchsorted(later, stop, "right")]
+            stop = int(ends[-1] if len(ends) else later[0] if len(later) else len(order))
+        hits.append(_bucket(order[at:stop], ids, start, n, size, offset, lead, data, length))
+        at = stop
+    return tuple(np.concatenate([h[i] for h in hits]) for i in range(3))
+
+
 def _bucket(runs, ids, start, n, size, offset, lead, data, length) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sort one bucket: (run, first, end) of the strings of each run that are repeated."""
     # Runs lie with their anchors at multiples of COVER, so equal strings have equal residues.
@@ -397,12 +410,19 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id
     """(rows with k1, k2, id, text; stored (k1, k2, ranges) of the starts of repeated strings)."""
     rows = keyed(stable(docs), id_col, text_col)
     gram = min(gram, length)
-    # Later copies of whole texts: every string of theirs starts earlier in the first copy.
+    # Later copies of whole texts: every string of theirs starts earlier in the first copy.  Copies are found by hash;
+    # groups whose least and greatest text differ are no copies and go on with the others.
     text_key = [F.xxhash64(F.lit(3), "text").alias("t1"), F.xxhash64(F.lit(4), "text", F.lit(5)).alias("t2")]
-    brief = rows.where(F.octet_length("text") >= length).select("k1", "k2", "id", F.octet_length("text").alias("n"), *text_key)
-    groups = brief.groupBy("t1", "t2").agg(F.min(F.coalesce("id", F.lit(NULL_ID))).alias("least"), F.count("*").alias("c")).where("c > 1")
-    later = brief.join(groups, ["t1", "t2"]).where(F.coalesce("id", F.lit(NULL_ID)) > F.col("least"))
+    long_ = rows.where(F.octet_length("text") >= length)
+    brief = long_.select("k1", "k2", "id", F.octet_length("text").alias("n"), *text_key)
+    groups = brief.groupBy("t1", "t2").agg(F.min(F.coalesce("id", F.lit(NULL_ID))).alias("least"), F.count("*").alias("_n")).where("_n > 1")
+    groups = cut(groups, "suffix-groups")
+    texts = join_by_size(long_.select("text", *text_key), groups.select("t1", "t2", "_n"), ["t1", "t2"])
+    ends = texts.groupBy("t1", "t2").agg(F.min("text").alias("lo"), F.max("text").alias("hi")).where("lo = hi").select("t1", "t2")
+    equal = cut(groups.join(ends.hint("merge"), ["t1", "t2"], "left_semi"), "suffix-equal")
+    later = join_by_size(brief, equal, ["t1", "t2"]).where(F.coalesce("id", F.lit(NULL_ID)) > F.col("least"))
     copies = cut(later.select("k1", "k2", "n").distinct(), "suffix-copies")
+    discard(groups, equal)
     first = cut(candidates(rows, length, gram).dropDuplicates(["k1", "k2"]), "suffix-candidates")
     own = cut(repeated(rows, first.join(copies, ["k1", "k2"], "left_anti"), length, gram), "suffix-repeats")
     discard(first)

@@ -7,14 +7,17 @@ Pass 1, the sketch.  Each window has an anchor: of its ``gram``-word grams, the
 one with the least hash (leftmost of equals).  Equal windows have equal anchors
 at equal offsets, so an anchor occurs at least as often as each of its windows:
 a count of anchors overestimates window counts, at one key for about thirteen
-windows.  Blocks build count-min sketches of their anchors (``DEPTH`` rows,
-sparse, cut by cell range); merging adds them, and each block learns which of
-its anchors are estimated to repeat.  No estimate is below the true count, so no
-repeated window is lost.
+windows.  A count-min sketch has ``DEPTH`` rows of counters, cut into ranges of
+``CELLS`` counters; there are so many ranges that about one counter in ``SPARE``
+is used.  Each block sends its own sketch, the counters that are not 0, by range;
+a range's task adds them in an array of fixed size, and each block learns which of
+its anchors have counters of 2 or more in all rows.  Anchors that share counters
+are overestimated and go on needlessly; no estimate is below the true count, so
+no repeated window is lost.
 
 Pass 2, exact.  Only windows of such anchors are grouped, by 128 bits (the
-anchor's hash and the window's), in groups of the anchor's hash, and a window
-that occurs twice goes.
+anchor's hash and the window's, also inside a block), in groups of the anchor's
+hash, and a window that occurs twice goes.
 
 Cases: null and empty texts have no words.  Texts shorter than the window keep
 all words.  Repeated rows count as documents of their own, so their windows go.
@@ -32,12 +35,17 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 
 from . import wordarrays as wa
-from .exchange import ASK_SCHEMA, answered, ask_batch, ask_rows, blocks, join_payload, keyed, local_counts, n_groups, pack, stable, unpack
+from .exchange import ASK_SCHEMA, answered, ask_batch, ask_rows, blocks, join_payload, keyed, local_counts, n_groups, pack, plan_bytes, stable, unpack
 from .shared import WORK_BYTES, chunks, cut, discard, lean
 
 WINDOW = 35
 GRAM = 10
 DEPTH = 2
+#: Counters of one row in a range (2 MB of counters of one byte), and counters for each anchor.
+CELLS = 1 << 21
+SPARE = 16
+#: Anchors for a byte of the table's files, at most about this many.
+ANCHORS_PER_BYTE = 0.05
 _SEEDS = (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 FOUND_SCHEMA = "k1 long, k2 long, ranges binary"
 
@@ -58,10 +66,27 @@ def anchor_runs(start: np.ndarray, text: np.ndarray, anchor: np.ndarray) -> tupl
     return np.concatenate([[0], new]), np.concatenate([new, [len(start)]])
 
 
-def cells(keys: np.ndarray, row: int, groups: int) -> tuple[np.ndarray, np.ndarray]:
-    """(group, cell) of keys in one row of the sketch; a group's slice of a row is 2**32 cells wide."""
+def cells(keys: np.ndarray, row: int, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """(range, counter in it) of keys in one row of the sketch."""
     h = wa.mix(keys ^ wa.U(_SEEDS[row]))
-    return ((h >> wa.U(33)) % wa.U(groups)).astype(np.int64), (h & wa.U(0xFFFFFFFF)).astype(np.uint32)
+    return ((h >> wa.U(33)) % wa.U(ranges)).astype(np.int64), (h & wa.U(CELLS - 1)).astype(np.uint32)
+
+
+def n_ranges(rows: DataFrame) -> int:
+    """Ranges of counters, by the size of the table."""
+    return max(n_groups(rows), int(plan_bytes(rows) * ANCHORS_PER_BYTE * SPARE) // CELLS)
+
+
+def _pair_counts(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same as ``local_counts`` in order, for keys of two numbers."""
+    order = np.lexsort((b, a))
+    x, y = a[order], b[order]
+    same = (x[1:] == x[:-1]) & (y[1:] == y[:-1])
+    first, again = np.ones(len(a), bool), np.zeros(len(a), bool)
+    first[order[1:]] = ~same
+    again[order[1:]] = same
+    again[order[:-1]] |= same
+    return first, again
 
 
 def sketch_asks(block: int, keys: np.ndarray, groups: int, depth: int, directory: bytes) -> pa.RecordBatch:
@@ -81,20 +106,16 @@ def sketch_asks(block: int, keys: np.ndarray, groups: int, depth: int, directory
 
 
 def merge_sketch(block: list[int], bodies: list[bytes]) -> list[bytes | None]:
-    """Add the blocks' sketches in one cell range; answers: the entries whose cell counts 2 or more."""
+    """Add the blocks' sketches in one range of counters; answers: the entries whose counter is 2 or more."""
     parts = [unpack(b, np.uint32, np.uint8, np.uint8, np.uint32) for b in bodies]
-    cell = np.concatenate([p[0].astype(np.uint64) << wa.U(8) | p[1] for p in parts])
-    extra = np.concatenate([p[2] for p in parts])
-    order = np.argsort(cell)
-    s = cell[order]
-    new = np.concatenate([[0], np.flatnonzero(s[1:] != s[:-1]) + 1])
-    count = np.add.reduceat(1 + extra[order].astype(np.int64), new)
-    hit = np.empty(len(s), bool)
-    hit[order] = np.repeat(count >= 2, np.diff(np.concatenate([new, [len(s)]])))
-    out, at = [], 0
-    for p in parts:
-        got = p[3][hit[at : at + len(p[3])]]
-        at += len(p[3])
+    counters = np.zeros((max(int(p[1].max()) for p in parts) + 1) * CELLS, np.uint8)
+    for cell, row, extra, _ in parts:
+        at = row.astype(np.int64) * CELLS + cell
+        own, times = np.unique(np.concatenate([at, at[extra > 0]]), return_counts=True)
+        counters[own] = np.minimum(counters[own] + times, 2)  # 2 stands for more
+    out = []
+    for cell, row, _, entry in parts:
+        got = entry[counters[row.astype(np.int64) * CELLS + cell] >= 2]
         out.append(pack(got) if len(got) else None)
     return out
 
@@ -131,7 +152,7 @@ def long_arrays(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 def candidates(rows: DataFrame, window: int, gram: int, depth: int) -> DataFrame:
     """(k1, k2, ranges of window starts) whose anchors are estimated to repeat."""
-    groups = n_groups(rows)
+    groups = n_ranges(rows)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, part in blocks(batches):
@@ -183,7 +204,7 @@ def repeated(rows: DataFrame, found: DataFrame, window: int, gram: int) -> DataF
             key = grams[anchor]
             own = wa.rolling(words.hash, window, 2)[start]
             # Inside the block: later copies are answered here, the first is sent with a mark.
-            first, again = local_counts(wa.mix(key ^ wa.U(_SEEDS[2])) + own, in_order=True)
+            first, again = _pair_counts(key, own)
             k1, k2 = long_arrays(part)
             where = start - words.first[text]
             directory = pack(k1, k2, text[again].astype(np.uint16), where[again].astype(np.uint32))

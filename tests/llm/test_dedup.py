@@ -57,6 +57,70 @@ def test_substrings(spark, length):
     assert Counter(map(tuple, got)) == want
 
 
+@pytest.fixture
+def by_value():
+    """Workers get a module as the test has changed it."""
+    from pyspark import cloudpickle
+
+    held = []
+
+    def register(module):
+        cloudpickle.register_pickle_by_value(module)
+        held.append(module)
+
+    yield register
+    for module in held:
+        cloudpickle.unregister_pickle_by_value(module)
+
+
+@pytest.mark.parametrize("cells", [1, 64])
+def test_sketches_of_any_size_lose_nothing(spark, monkeypatch, by_value, cells):
+    """Counters that many anchors share overestimate; the exact pass decides."""
+    docs, own = unique(spark)
+    want = {r.doc_id: r.kept_sha256 for r in window_dedup.remove_repeats(docs).collect()}
+    by_value(window_dedup)
+    monkeypatch.setattr(window_dedup, "CELLS", cells)
+    assert {r.doc_id: r.kept_sha256 for r in window_dedup.remove_repeats(docs).collect()} == want
+
+
+def test_the_sketch_decides_what_goes_on(spark, monkeypatch):
+    docs, own = unique(spark)
+    monkeypatch.setattr(window_dedup, "merge_sketch", lambda block, bodies: [None] * len(bodies))
+    assert window_dedup.remove_repeats(docs).where("n_removed > 0").count() == 0
+
+
+def test_suffix_sorting_decides_what_goes(spark, monkeypatch, by_value):
+    """Without sorting nothing is removed, in blocks either, but later copies of whole texts."""
+    docs, own = unique(spark)
+    none = lambda text, at, depth, v=32: (np.arange(len(at)), np.zeros(len(at), bool))
+    by_value(suffix_dedup)
+    monkeypatch.setattr(suffix_dedup, "sort_suffixes", none)
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(docs.coalesce(1)).collect()}
+    by_text = {}
+    for i, t, *_ in sorted(own, key=lambda r: r[0]):
+        whole = len((t or "").encode())
+        assert got[i] == (whole if whole >= 100 and t in by_text else 0)
+        by_text.setdefault(t, i)
+
+
+def test_texts_above_one_block(spark, monkeypatch):
+    """Blocks of a few hundred bytes, so that texts are longer than a block and blocks hold one text each."""
+    from siltbed.llm import exchange
+
+    docs, own = unique(spark)
+    runs = [
+        lambda: {r.doc_id: (r.n_removed, r.kept_sha256) for r in window_dedup.remove_repeats(docs).collect()},
+        lambda: {r.doc_id: (r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.remove_repeats(docs).collect()},
+        lambda: {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(docs).collect()},
+        lambda: {r.doc_id: (r.n_removed, r.kept_sha256) for r in line_dedup.line_report(docs).collect()},
+    ]
+    want = [f() for f in runs]
+    small = lambda f: lambda batches, limit=500, max_rows=3: f(batches, limit, max_rows)
+    for module in (window_dedup, suffix_dedup, jaccard_join, line_dedup):
+        monkeypatch.setattr(module, "blocks", small(exchange.blocks))
+    assert [f() for f in runs] == want
+
+
 def test_rows_that_repeat_are_one_document_for_substrings(spark):
     r = random.Random(1)
     text = "".join(r.choice("abcdefgh") for _ in range(300))
