@@ -1,26 +1,31 @@
 """SentencePiece encoding and decoding by weighted finite-state transduction.
 
-A model file is compiled into three machines:
+A model file is compiled into machines:
 
-* the normaliser, a character transducer (white space handling and the dummy
-  prefix; models with a compiled character map are refused),
-* the pieces, a character trie whose final states emit ids,
+* the normaliser, a transducer over characters: arcs of the model's character
+  map (the longest that matches), user-defined pieces (which pass as they are),
+  runs of spaces, the mark for a space, the dummy prefix or suffix;
+* the pieces, an Aho-Corasick machine (a trie with failure arcs) whose states
+  emit the ids of the pieces that end there;
 * byte fallback, which emits the UTF-8 bytes of a character that no piece holds.
 
-Their composition with an input is a lattice over its positions; the encoding is
-its shortest path in the tropical semiring (weights add along a path, the least
-sum wins).
+Their composition with an input is built as it is walked: a lattice over the
+input's positions.  The encoding is its shortest path in the tropical semiring:
+weights add along a path, and each position keeps the least sum.
 
 Weights.  In unigram models an arc weighs minus its piece's score.  In BPE models
-arcs weigh nothing, and a pair of consecutive pieces weighs 0 or infinity:
+pieces weigh nothing, and a pair of consecutive pieces weighs 0 or infinity:
 infinity if merging would not leave the two apart.  A piece sequence is what the
-merges give exactly if each adjacent pair is, so exactly one path has finite
-weight.  A pair is judged from the machine of merges alone: undo the later
-merge on either side of the border, step by step, and see whether a merge across
-the border would have come first.  So the shortest path is found depth first.
+merges give exactly if each adjacent pair is, so exactly one path to each position
+has finite weight.  A pair is judged from the machine of merges alone: undo the
+later merge on either side of the border, step by step, and see whether a merge
+across the border would have come first.
 
 Characters that never meet inside a piece cannot be joined, so inputs fall into
-independent segments; segments and pairs are memoised in bounded tables.
+independent segments; segments and pairs are memoised in bounded tables.  BPE
+models with unused pieces, and models that are neither unigram nor BPE, are
+refused with ``ValueError``.  Of unigram paths of one weight, the library, which
+adds in single precision, may take another.
 
 Cases: null and empty texts encode to no ids.  Any other text is kept whole,
 whatever its length, and decodes to itself if the model's normaliser is the
@@ -36,6 +41,7 @@ import re
 from array import array
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -74,6 +80,41 @@ class _Memo(dict):
         return value
 
 
+class CharacterMap:
+    """A model's compiled character map: a double-array trie over UTF-8 bytes whose final states point at replacements.
+
+    Fixed format: the trie's size in bytes, its units of 32 bits, then the replacements, each closed by a zero byte.
+    A unit holds a label (8 bits and bit 31), whether a final state follows (bit 8), and an offset (from bit 10, times
+    256 if bit 9 is set).
+    """
+
+    def __init__(self, packed: bytes):
+        size = int.from_bytes(packed[:4], "little")
+        self.units = np.frombuffer(packed, "<u4", size // 4, 4).tolist()
+        self.texts = packed[4 + size :]
+
+    @staticmethod
+    def _offset(unit: int) -> int:
+        return (unit >> 10) << ((unit & 512) >> 6)
+
+    def longest(self, raw: bytes, at: int) -> tuple[int, str]:
+        """(bytes read, replacement) of the longest key that starts at ``at``; 0 bytes if there is none."""
+        units = self.units
+        node = self._offset(units[0])
+        found, size = -1, 0
+        for k in range(at, len(raw)):
+            node ^= raw[k]
+            unit = units[node]
+            if unit & 0x800000FF != raw[k]:
+                break
+            node ^= self._offset(unit)
+            if unit >> 8 & 1:
+                found, size = units[node] & 0x7FFFFFFF, k + 1 - at
+        if found < 0:
+            return 0, ""
+        return size, self.texts[found : self.texts.index(b"\0", found)].decode()
+
+
 class Transducer:
     """The compiled machines of one model."""
 
@@ -83,14 +124,17 @@ class Transducer:
         proto = pb.ModelProto()
         proto.ParseFromString(model)
         norm, trainer = proto.normalizer_spec, proto.trainer_spec
-        if norm.precompiled_charsmap or trainer.treat_whitespace_as_suffix:
-            raise ValueError("only models with an identity character map and prefix marks are compiled")
         if trainer.model_type not in (UNIGRAM, BPE):
             raise ValueError("only unigram and BPE models are compiled")
-        if any(p.type == USER for p in proto.pieces):
-            raise ValueError("models with user-defined pieces are not compiled")
+        if trainer.model_type == BPE and any(p.type == UNUSED for p in proto.pieces):
+            raise ValueError("BPE models with unused pieces are not compiled")
         self.kind = trainer.model_type
         self.prefix, self.squeeze, self.escape = norm.add_dummy_prefix, norm.remove_extra_whitespaces, norm.escape_whitespaces
+        self.suffix = trainer.treat_whitespace_as_suffix
+        self.user = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == USER}
+        longest = sorted(self.user, key=len, reverse=True)
+        self.user_pieces = re.compile("|".join(map(re.escape, longest))) if longest else None
+        self.map = CharacterMap(norm.precompiled_charsmap) if norm.precompiled_charsmap else None
         self.fallback, self.unk_surface = trainer.byte_fallback, trainer.unk_surface
         self.pieces = [p.piece for p in proto.pieces]
         self.types = [p.type for p in proto.pieces]
@@ -100,37 +144,25 @@ class Transducer:
         self.unk = next(i for i, t in enumerate(self.types) if t == UNKNOWN)
         least = min((s for s, t in zip(self.scores, self.types, strict=True) if t == NORMAL), default=0.0)
         self.unk_weight = 10.0 - least
+        if self.kind == UNIGRAM:
+            # User-defined pieces are pieces of a score that beats any others.
+            best = max((s for s, t in zip(self.scores, self.types, strict=True) if t == NORMAL), default=0.0)
+            for piece, i in self.user.items():
+                self.scores[i] = len(piece.encode()) * best - 0.1
+            self.ids |= self.user
 
         self.splits = [self._split(i) for i in range(len(self.pieces))] if self.kind == BPE else []
-        # The piece trie: per state the outgoing arcs, and the id a final state emits.
-        self.arcs: list[dict[str, int]] = [{}]
-        self.final: list[int] = [-1]
         self.joined: set[str] = set()
+        self.machine = ahocorasick.Automaton()
         for piece, i in self.ids.items():
             if self.kind == BPE and len(piece) > 1 and self.splits[i] is None:
                 continue  # no merges give it
-            state = 0
-            for c in piece:
-                nxt = self.arcs[state].get(c)
-                if nxt is None:
-                    nxt = len(self.arcs)
-                    self.arcs[state][c] = nxt
-                    self.arcs.append({})
-                    self.final.append(-1)
-                state = nxt
-            self.final[state] = i
+            self.machine.add_word(piece, i)
             self.joined.update(a + b for a, b in zip(piece, piece[1:], strict=False))
-        # The longest piece that starts each piece and is shorter.
+        self.machine.make_automaton()
+        self.single = {p for p in self.ids if len(p) == 1}
         self.length = [len(p) for p in self.pieces]
-        self.shorter = [-1] * len(self.pieces)
-        for piece, i in self.ids.items():
-            state = 0
-            for c in piece[:-1]:
-                state = self.arcs[state].get(c, 0)
-                if not state:
-                    break
-                if self.final[state] >= 0:
-                    self.shorter[i] = self.final[state]
+        self.weight = [0.0 if self.kind == BPE else -x for x in self.scores]
         known = {c for p in self.ids for c in p}
         # Marks start a segment if no piece continues from another character into one.
         self.cuts = not any(b == MARK and a != MARK for a, b in self.joined)
@@ -155,14 +187,41 @@ class Transducer:
         self.surfaces = surfaces
 
     def normalise(self, text: str) -> str:
-        if self.squeeze:
-            text = re.sub(" +", " ", text.strip(" "))
+        """The output of the normaliser.  Without a map and user-defined pieces, only runs of spaces change."""
+        if self.map is None and self.user_pieces is None:
+            if self.squeeze:
+                text = re.sub(" +", " ", text.strip(" "))
+        else:
+            text = self._mapped(text)
         if not text:
             return ""
         if self.prefix:
-            text = " " + text
+            text = text + " " if self.suffix else " " + text
         return text.replace(" ", MARK) if self.escape else text
 
+    def _mapped(self, text: str) -> str:
+        """The walk over arcs of user-defined pieces and of the map; spaces after a space are dropped if asked."""
+        raw, at, out, spaced = text.encode(), 0, [], self.squeeze
+        user = {p.encode() for p in self.user}
+        widths = sorted({len(p) for p in user}, reverse=True)
+        while at < len(raw):
+            got = next((raw[at : at + w] for w in widths if raw[at : at + w] in user), None)
+            if got is not None:
+                size, piece = len(got), got.decode()
+            else:
+                size, piece = self.map.longest(raw, at) if self.map else (0, "")
+                if not size:
+                    size = 1 + sum(raw[at] >= limit for limit in (0xC0, 0xE0, 0xF0))
+                    piece = raw[at : at + size].decode()
+            at += size
+            if spaced:
+                piece = piece.lstrip(" ")
+            if piece:
+                out.append(piece)
+                spaced = self.squeeze and piece.endswith(" ")
+        whole = "".join(out)
+        return whole.rstrip(" ") if self.squeeze else whole
+
     # -- BPE pairs
 
     def _split(self, piece: int) -> tuple[int, int] | None:
@@ -232,82 +291,44 @@ class Transducer:
             return [self.bytes[b] for b in c.encode()]
         return [self.unk]
 
-    def _only_path(self, s: str) -> list[int] | None:
-        """The one path of finite weight, depth first and longest piece first; None if it leaves the pieces.
-
-        A prefix has one such path, so a position that led nowhere is never entered again.
-        """
-        arcs, final, fits, shorter, length = self.arcs, self.final, self.fits, self.shorter, self.length
-        size, n, at, path, dead = len(self.pieces), len(s), 0, [], set()
-        root, before = arcs[0], -1
-        while at < n:
-            # The longest piece here.
-            state, i, b = root.get(s[at]), -1, at + 1
-            while state is not None:
-                if final[state] >= 0:
-                    i = final[state]
-                if b == n:
-                    break
-                state = arcs[state].get(s[b])
-                b += 1
-            while True:
-                while i >= 0 and (at + length[i] in dead or (before >= 0 and not fits[before * size + i])):
-                    i = shorter[i]
-                if i >= 0:
-                    path.append(i)
-                    at += length[i]
-                    before = i
-                    break
-                if not path:
-                    return None
-                dead.add(at)
-                i = path.pop()
-                at -= length[i]
-                before = path[-1] if path else -1
-                i = shorter[i]
-        return path
-
     def _path(self, s: str) -> bytes:
         """The ids of one part on the shortest path of its lattice, as int32 bytes."""
         n = len(s)
-        if n == 1:
-            i = self.ids.get(s)
-            return array("i", self._outside(s) if i is None else [i]).tobytes()
-        if self.kind == BPE and (found := self._only_path(s)) is not None:
-            return array("i", found).tobytes()
-        # Per position: the least weight, where its last arc starts, and what that arc emits (-1: outside the pieces).
-        dist, start, last = [INF] * (n + 1), [-1] * (n + 1), [-1] * (n + 1)
+        if n == 1 and s not in self.single:
+            return array("i", self._outside(s)).tobytes()
+        # Per position: the least weight, and the piece that ends there on its path (-1: a character outside the pieces).
+        dist, last = [INF] * (n + 1), [-1] * (n + 1)
         dist[0] = 0.0
-        arcs, final, score, fits, bpe, size = self.arcs, self.final, self.scores, self.fits, self.kind == BPE, len(self.pieces)
-        for a in range(n):
-            d = dist[a]
-            if d == INF:
-                continue
-            before = last[a] * size
-            out = arcs[0].get(s[a])
-            b = a + 1
-            single = out is not None and final[out] >= 0
-            while out is not None:
-                i = final[out]
-                if i >= 0:
-                    if bpe:
-                        # One path of finite weight leads to each position.
-                        if dist[b] == INF and (before < 0 or fits[before + i]):
-                            dist[b], start[b], last[b] = d, a, i
-                    elif d - score[i] < dist[b]:
-                        dist[b], start[b], last[b] = d - score[i], a, i
-                if b == n:
-                    break
-                out = arcs[out].get(s[b])
-                b += 1
-            if not single and d + self.unk_weight < dist[a + 1]:
-                dist[a + 1], start[a + 1], last[a + 1] = d + self.unk_weight, a, -1
+        length, weight, fits, bpe, size = self.length, self.weight, self.fits, self.kind == BPE, len(self.pieces)
+        if self.single.issuperset(s):
+            for end, i in self.machine.iter(s):
+                a = end + 1 - length[i]
+                d = dist[a] + weight[i]
+                if d < dist[end + 1] and (not bpe or not a or fits[last[a] * size + i]):
+                    dist[end + 1], last[end + 1] = d, i
+        else:
+            arcs: list[list[int]] = [[] for _ in range(n)]
+            for end, i in self.machine.iter(s):
+                arcs[end].append(i)
+            for end in range(n):
+                for i in arcs[end]:
+                    a = end + 1 - length[i]
+                    d = dist[a] + weight[i]
+                    if d < dist[end + 1] and (not bpe or last[a] < 0 or fits[last[a] * size + i]):
+                        dist[end + 1], last[end + 1] = d, i
+                if s[end] not in self.single and dist[end] + self.unk_weight < dist[end + 1]:
+                    dist[end + 1], last[end + 1] = dist[end] + self.unk_weight, -1
         out, b = [], n
         while b:
-            a, i = start[b], last[b]
-            out.append([i] if i >= 0 else self._outside(s[a:b]))
-            b = a
-        return array("i", [i for ids in reversed(out) for i in ids]).tobytes()
+            i = last[b]
+            if i >= 0:
+                out.append(i)
+                b -= length[i]
+            else:
+                out += reversed(self._outside(s[b - 1]))
+                b -= 1
+        out.reverse()
+        return array("i", out).tobytes()
 
     def _segment(self, s: str) -> bytes:
         if self.kind == UNIGRAM and not self.cuts:
@@ -320,14 +341,26 @@ class Transducer:
 
     def encode(self, text: str | None) -> np.ndarray:
         norm = self.normalise(text or "")
-        ids = np.frombuffer(b"".join(map(self.segments.__getitem__, self.segment.findall(norm))), np.int32)
+        find, segments = self.segment.findall, self.segments
+        if self.kind == UNIGRAM or self.user_pieces is None:
+            parts = map(segments.__getitem__, find(norm))
+        else:
+            # User-defined pieces stand for themselves, and nothing merges across them.
+            parts, at = [], 0
+            for m in self.user_pieces.finditer(norm):
+                parts += [*map(segments.__getitem__, find(norm[at : m.start()])), array("i", [self.user[m[0]]]).tobytes()]
+                at = m.end()
+            parts += map(segments.__getitem__, find(norm[at:]))
+        ids = np.frombuffer(b"".join(parts), np.int32)
         if self.fallback or self.unk not in ids:
             return ids
         return ids[np.r_[True, (ids[1:] != self.unk) | (ids[:-1] != self.unk)]]  # runs of unknowns are one
 
     def decode(self, ids) -> str:
         raw = b"".join(map(self.surfaces.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids))
-        if self.prefix and raw.startswith(b" "):
+        if self.prefix and self.suffix and raw.endswith(b" "):
+            raw = raw[:-1]
+        elif self.prefix and not self.suffix and raw.startswith(b" "):
             raw = raw[1:]
         return raw.decode("utf-8", "replace")
 

@@ -165,6 +165,121 @@ def test_unigram_ids_equal_the_library(fallback):
         assert own.encode(t).tolist() == library.encode(t), t
 
 
+def _changed(change):
+    """The default model with another normaliser or more pieces."""
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    m = pb.ModelProto()
+    m.ParseFromString(sentencepiece_fst.read_model())
+    change(m)
+    return m.SerializeToString()
+
+
+def _charsmap(rule):
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    m = pb.ModelProto()
+    m.ParseFromString(sentencepiece.SentencePieceNormalizer(rule_name=rule).serialized_model_proto())
+    return m.normalizer_spec.precompiled_charsmap
+
+
+ODD = ["ｶﾞｷﾞ①ﬁ ＡＢＣ", "a\u3000b\tc\nd", "  two  spaces  ", "é e\u0301 \u00a8x", "½ ㌀ ™", "\u200b\ufeffx", "", " ", "tab\t", "한글 각", "<x><y> <x>a<yy>", "a<x>", "no. <y>"]
+
+
+@pieces
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc", "nmt_nfkc_cf", "nfkc_cf"])
+@pytest.mark.parametrize("squeeze", [True, False])
+def test_character_maps_equal_the_library(rule, squeeze):
+    import sentencepiece
+
+    def change(m):
+        m.normalizer_spec.precompiled_charsmap = _charsmap(rule)
+        m.normalizer_spec.remove_extra_whitespaces = squeeze
+
+    model = _changed(change)
+    own, library = sentencepiece_fst.Transducer(model), sentencepiece.SentencePieceProcessor(model_proto=model)
+    for t in ODD + [t for t in texts()[:70] if t]:
+        assert own.encode(t).tolist() == library.encode(t), t
+        assert own.decode(own.encode(t)) == library.decode(library.encode(t)), t
+
+
+@pieces
+@pytest.mark.parametrize("rule", [None, "nmt_nfkc"])
+def test_user_defined_pieces_equal_the_library(rule):
+    import sentencepiece
+
+    def change(m):
+        known = {p.piece for p in m.pieces}
+        for p in ("<x>", "<y>", "<yy>", "singi", "éé"):
+            assert p not in known
+            m.pieces.add(piece=p, score=0, type=4)
+        if rule:
+            m.normalizer_spec.precompiled_charsmap = _charsmap(rule)
+
+    model = _changed(change)
+    own, library = sentencepiece_fst.Transducer(model), sentencepiece.SentencePieceProcessor(model_proto=model)
+    for t in ODD + ["singing kingéé", "ing ing"] + [t for t in texts()[:40] if t]:
+        assert own.encode(t).tolist() == library.encode(t), t
+
+
+@pieces
+def test_white_space_suffixes_equal_the_library():
+    import sentencepiece
+
+    model = _changed(lambda m: setattr(m.trainer_spec, "treat_whitespace_as_suffix", True))
+    own, library = sentencepiece_fst.Transducer(model), sentencepiece.SentencePieceProcessor(model_proto=model)
+    for t in ODD + [t for t in texts()[:30] if t and len(t) < 2000]:
+        assert own.encode(t).tolist() == library.encode(t), t
+
+
+def test_unigram_models_with_user_defined_pieces():
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    r = random.Random(6)
+    table = {c: -9.0 - r.random() for c in "▁abcde"} | {"".join(r.choice("abcde") for _ in range(r.randint(2, 4))): -3 - 5 * r.random() for _ in range(60)}
+    m = pb.ModelProto()
+    m.ParseFromString(_unigram(table))
+    for p in ("xyz", "abc"):
+        if p not in table:
+            m.pieces.add(piece=p, score=0, type=4)
+    model = m.SerializeToString()
+    own, library = sentencepiece_fst.Transducer(model), sentencepiece.SentencePieceProcessor(model_proto=model)
+    for _ in range(300):
+        t = "".join(r.choice(["a", "b", "c", "d", "e", " ", "abc", "xyz", "x"]) for _ in range(r.randint(1, 20)))
+        got, want = own.encode(t).tolist(), library.encode(t)
+        if got != want:  # paths of one weight, in another order
+            assert sorted(got) == sorted(want) and own.decode(got) == library.decode(want), t
+
+
+def plain_shortest_path(t, s):
+    """All arcs of the lattice, relaxed position by position with both weights summed."""
+    states = {(0, None): (0.0, [])}
+    for a in range(len(s)):
+        for (at, before), (d, path) in list(states.items()):
+            if at != a:
+                continue
+            for b in range(a + 1, len(s) + 1):
+                i = t.ids.get(s[a:b])
+                if i is None or (len(s[a:b]) > 1 and t.splits and t.splits[i] is None):
+                    continue
+                w = t.weight[i] + (0.0 if before is None or t.kind != sentencepiece_fst.BPE or t._fits(before * len(t.pieces) + i) else float("inf"))
+                if d + w < states.get((b, i), (float("inf"),))[0]:
+                    states[b, i] = (d + w, [*path, i])
+    return min((v for (at, _), v in states.items() if at == len(s)), default=(float("inf"), None))[1]
+
+
+@pieces
+def test_paths_are_the_shortest():
+    t = sentencepiece_fst.Transducer(sentencepiece_fst.read_model())
+    for word in ["▁interesting", "▁unbelievable", "▁dans", "èelleê", "▁naïveté", "aaaaaaa", "▁▁▁▁x", "tokenization"]:
+        assert np.frombuffer(t._path(word), np.int32).tolist() == plain_shortest_path(t, word), word
+    want = t._path("tokenization")
+    t.weight = [float("inf")] * len(t.weight)
+    assert t._path("tokenization") != want
+
+
 @pieces
 def test_small_memos_change_nothing(monkeypatch):
     monkeypatch.setattr(sentencepiece_fst, "MAX_SEGMENTS", 3)
