@@ -87,17 +87,26 @@ def _eights(text: np.ndarray) -> np.ndarray:
     return out
 
 
-def _ranked(order: np.ndarray, *keys: np.ndarray) -> np.ndarray:
-    """Dense ranks of items whose sorted order is ``order``."""
-    new = np.zeros(len(order), bool)
-    for k in keys:
-        s = k[order]
-        new[1:] |= s[1:] != s[:-1]
-    out = np.empty(len(order), np.int64)
-    out[order] = np.cumsum(new)
+def _dense(x: np.ndarray) -> np.ndarray:
+    """Ranks of numbers, equal ones alike."""
+    order = np.argsort(x)
+    s = x[order]
+    out = np.empty(len(x), np.int64)
+    out[order] = np.cumsum(np.concatenate([[False], s[1:] != s[:-1]])) if len(x) else 0
     return out
 
 
+def _prefix_ranks(eights: np.ndarray, v: int) -> np.ndarray:
+    """Ranks of all positions by the ``v`` bytes there, doubled from 8 bytes on."""
+    rank, known = _dense(eights), 8
+    while known < v:
+        step = min(known, v - known)
+        later = np.zeros_like(rank)
+        later[:-step] = rank[step:]
+        rank, known = _dense(rank * (len(rank) + 1) + later), known + step
+    return rank
+
+
 class CoverSample:
     """Ranks of the difference-cover sample of a text, by prefixes of at least ``depth`` bytes."""
 
@@ -111,14 +120,14 @@ class CoverSample:
         self.eights = _eights(self.text)
         at = (np.arange(0, n, v)[:, None] + self.cover).ravel()
         step = len(self.cover)
-        keys = [self.eights[at + k] for k in range(0, v, 8)]
-        rank = _ranked(np.lexsort(keys[::-1]), *keys)
+        self.prefix = _prefix_ranks(self.eights, v)
+        rank = _dense(self.prefix[at])
         known, ahead = v, step
         while known < depth:  # a sample position plus a multiple of v is one too, ``ahead`` places on
             later = np.zeros_like(rank)
             later[:-ahead] = rank[ahead:] + 1
             both = rank * (len(rank) + 2) + later
-            rank = _ranked(np.argsort(both, kind="stable"), both)
+            rank = _dense(both)
             known, ahead = known * 2, ahead * 2
         slot = np.full(v, -1)
         slot[self.cover] = np.arange(step)
@@ -135,9 +144,8 @@ def sort_suffixes(text: np.ndarray, at: np.ndarray, depth: int = LENGTH, v: int
     Suffixes that share v + depth bytes keep their given order.
     """
     sample = CoverSample(text, v, depth)
-    keys = [sample.eights[at + k] for k in range(0, v, 8)]
-    order = np.lexsort(keys[::-1])
-    tie = _ranked(order, *keys)
+    tie = _dense(sample.prefix[at])
+    order = np.argsort(tie, kind="stable")
     # Long ties.  Within one tie, a shift that takes all residues into the cover makes the ranks comparable.
     residue = at % v
     sorted_tie = tie[order]
@@ -163,9 +171,12 @@ def sort_suffixes(text: np.ndarray, at: np.ndarray, depth: int = LENGTH, v: int
         alike = np.flatnonzero(tie[order][1:] == tie[order][:-1]) if depth >= v else np.arange(len(at) - 1)
         x, y = s[alike], s[alike + 1]
         ok = np.ones(len(alike), bool)
-        steps = [*range(0, depth - 7, 8), depth - 8] if depth >= 8 else []
+        if depth >= v:
+            steps, equal = [*range(v, depth - v + 1, v), depth - v], sample.prefix
+        else:
+            steps, equal = [*range(0, depth - 7, 8), depth - 8] if depth >= 8 else [], sample.eights
         for k in steps:
-            ok &= sample.eights[x + k] == sample.eights[y + k]
+            ok &= equal[x + k] == equal[y + k]
         if depth < 8:
             drop = wa.U(64 - 8 * depth)
             ok &= sample.eights[x] >> drop == sample.eights[y] >> drop
