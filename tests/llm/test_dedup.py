@@ -304,6 +304,32 @@ def test_lines_of_39_characters_bear_a_typo():
     assert line_dedup.Shingled({0: line, 1: typo}).near(0, 1)
 
 
+def test_unrelated_lines_seldom_meet():
+    """Lines of one vocabulary share keys by chance, more pairs the more lines there are; near lines still meet."""
+    r = random.Random(5)
+    vocabulary = ["".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(40)]
+    lines = [" ".join(r.choice(vocabulary) for _ in range(24)) for _ in range(2000)]
+    lines += [x[:60] + "#" + x[61:] for x in lines[:40]]
+    keys, checks = line_dedup.Lines(lines).bands()
+    order = np.argsort(keys, axis=None, kind="stable")
+    key, own = keys.ravel()[order], order // line_dedup.BANDS
+    new = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    shared = np.repeat(np.diff(np.append(new, len(key))) > 1, np.diff(np.append(new, len(key))))
+    met = line_dedup._met(new, checks.ravel()[order], np.zeros(len(key), bool))
+    assert {*own[met].tolist()} >= {*range(40), *range(2000, 2040)}
+    assert 3 * len({*own[met].tolist()}) < len({*own[shared].tolist()})
+
+
+def test_packed_shingles_compare_as_sets():
+    r = random.Random(2)
+    for letters in ("ab", "abcdeéß", "ab日😀", "abcdefghijklmnop"):
+        for _ in range(60):
+            x = "".join(r.choice(letters) for _ in range(r.randint(1, 60)))
+            k = r.randint(0, len(x))
+            y = x[:k] + r.choice(letters) + x[k + 1 :]
+            assert line_dedup.near_lines(x, y) == line_dedup.near(line_dedup.shingles(x), line_dedup.shingles(y))
+
+
 def test_lines_of_odd_rows(spark):
     got = line_dedup.line_report(documents(spark)).collect()
     assert Counter(r.doc_id for r in got) == Counter(i for i, *_ in rows())
