@@ -295,6 +295,19 @@ def test_lines_with_small_buckets(spark, monkeypatch):
     assert sum(r.n_removed != want[r.doc_id] for r in got) == 0
 
 
+def test_few_lines_of_hot_keys_go_to_few_groups(spark, monkeypatch):
+    """A large group of near lines is in many lists; its texts are not copied for each of them."""
+    monkeypatch.setattr(line_dedup, "BUCKET", 20)
+    seen, dealt = [], line_dedup.jaccard_join.dealt
+    monkeypatch.setattr(line_dedup.jaccard_join, "dealt", lambda lists, groups: seen.append(groups) or dealt(lists, groups))
+    r = random.Random(4)
+    stem = "".join(r.choice("abcdefghij ") for _ in range(120))
+    own = [(k, stem[: 2 * k] + "#%02d" % k + stem[2 * k + 3 :], None, None, 0) for k in range(50)]
+    got = line_dedup.line_report(spark.createDataFrame(own, SCHEMA).repartition(2)).collect()
+    assert sum(x.n_removed for x in got) == sum(brute_lines(own).values()) == 49
+    assert len(seen) == 2 and seen[1] == 8
+
+
 def test_lines_of_39_characters_bear_a_typo():
     line = "the quick brown fox jumps over lazy dog"
     typo = line[:19] + "#" + line[20:]
