@@ -343,6 +343,47 @@ def test_packed_shingles_compare_as_sets():
             assert line_dedup.near_lines(x, y) == line_dedup.near(line_dedup.shingles(x), line_dedup.shingles(y))
 
 
+def test_lines_are_packed_once_and_for_all_their_pairs(monkeypatch):
+    """Pairs are decided by sets made beforehand; only lines with characters above 12 bits are packed again."""
+    r, again, plain = random.Random(4), [], line_dedup.near_lines
+    monkeypatch.setattr(line_dedup, "near_lines", lambda a, b: again.append(a + b) or plain(a, b))
+    lines = {"a", "ab", "abc", "日", "b日"}
+    for letters in ("ab", "abcdeéß", "abжд", "ab日"):
+        for _ in range(12):
+            x = "".join(r.choice(letters) for _ in range(r.randint(1, 40)))
+            lines |= {x, x + x[:2], x[1:] or x, x[: len(x) // 2] + "#" + x[len(x) // 2 + 1 :], "日" + x}
+    lines = sorted(lines)
+    sets = line_dedup.Shingled(dict(enumerate(lines)))
+    for j, y in enumerate(lines):
+        for i, x in enumerate(lines[:j]):
+            assert sets.near(i, j) == line_dedup.near(line_dedup.shingles(x), line_dedup.shingles(y)), (x, y)
+    assert again and all("日" in x for x in again)
+
+
+def test_white_space_of_lines():
+    r, space = random.Random(6), " \t\x0b\x0c\r"
+    for letters in ("aB", "aÀ\xa0\x85", "İΣ日\x1c"):
+        for _ in range(40):
+            texts = [r.choice([None, "", "".join(r.choice(letters + space + "\n") for _ in range(r.randint(1, 40)))]) for _ in range(4)]
+            want = []
+            for t, text in enumerate(texts):
+                for n, line in enumerate((text or "").lower().split("\n")):
+                    if tidy := re.sub(f"[{space}]+", " ", line).strip(" "):
+                        want.append((t, n, tidy))
+            lines = line_dedup.Lines(texts)
+            got = zip(lines.text.tolist(), lines.number.tolist(), [lines.string(i) for i in range(len(lines.text))], strict=True)
+            assert list(got) == want
+
+
+def test_empty_bins_copy_the_next_filled_one():
+    r = np.random.default_rng(3)
+    for share in (0, 0.1, 0.9, 0.99, 1):
+        low = r.integers(0, 1 << 32, (40, line_dedup.BINS), dtype=np.uint32)
+        low[r.random(low.shape) < share] = line_dedup._NONE
+        want = [[next((x for x in [*row[k:], *row[:k]] if x != line_dedup._NONE), line_dedup._NONE) for k in range(len(row))] for row in low.tolist()]
+        assert line_dedup._filled(low.copy()).tolist() == want
+
+
 def test_lines_of_odd_rows(spark):
     got = line_dedup.line_report(documents(spark)).collect()
     assert Counter(r.doc_id for r in got) == Counter(i for i, *_ in rows())
