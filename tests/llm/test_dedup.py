@@ -308,6 +308,28 @@ def test_few_lines_of_hot_keys_go_to_few_groups(spark, monkeypatch):
     assert len(seen) == 2 and seen[1] == 8
 
 
+def test_copies_of_lines_name_no_keys(spark, monkeypatch):
+    """Of equal lines one asks for its keys, and it has only those that other lines share."""
+    held, cut = {}, line_dedup.cut
+
+    def keep(df, name):
+        held[name] = cut(df, name)
+        return held[name]
+
+    monkeypatch.setattr(line_dedup, "cut", keep)
+    monkeypatch.setattr(line_dedup, "discard", lambda *tables: None)
+    r = random.Random(7)
+    alone = ["".join(r.choice("abcdefghij") for _ in range(80)) for _ in range(20)]
+    near = alone[0][:40] + "#" + alone[0][41:]
+    texts = ["\n".join(alone[k : k + 3]) for k in range(0, 18)] * 3 + [near, near + "\n" + near]
+    own = [(k, x, None, None, 0) for k, x in enumerate(texts)] + [(0, texts[0], None, None, 0)]
+    got = line_dedup.line_report(spark.createDataFrame(own, SCHEMA).repartition(4)).collect()
+    want = brute_lines(own[:-1])
+    assert {x.doc_id: x.n_removed for x in got} == {i: want[i] for i, *_ in own}
+    named = {x.text for x in held["lines"].where("text is not null").collect()}
+    assert {alone[0], near} <= named and len(named) <= 4  # the lines of the row that repeats ask twice
+
+
 def test_lines_of_39_characters_bear_a_typo():
     line = "the quick brown fox jumps over lazy dog"
     typo = line[:19] + "#" + line[20:]

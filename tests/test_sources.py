@@ -1,6 +1,7 @@
 """Readers and writers."""
 
 import json
+import time
 
 import numpy as np
 import pytest
@@ -83,3 +84,21 @@ def test_other_sinks(spark, tmp_path):
         writers.write_json_array(spark.range(3).select(F.col("id")), str(tmp_path / "b.json"), limit=2)
     writers.compact(df.union(df), f"file://{tmp_path}/p", files=1)
     assert spark.read.parquet(f"file://{tmp_path}/p").count() == 2
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    from siltbed.sources.scratch import cut
+
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(k).getName() for k in range(found.size()) if found.apply(k).getName().startswith("shuffle_")}
+
+    before, key = files(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.collect_list("id").alias("ids"))
+    setting = spark.conf.get(key)
+    out = cut(rows, "left")
+    ends = time.monotonic() + 10  # files go a little later
+    while files() - before and time.monotonic() < ends:
+        time.sleep(0.1)
+    assert not files() - before and spark.conf.get(key) == setting
+    assert out.count() == 7 and cut(rows, "again").count() == 7
