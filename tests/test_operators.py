@@ -303,6 +303,23 @@ def test_groups_of_blocks_equal_broadcast(spark, k):
         assert key(similarity.nearest(q, df, k, exclude_self=own, broadcast_bytes=0, block=16, group_bytes=1200)) == want
 
 
+def test_a_round_holds_one_chunk(spark, monkeypatch):
+    """What a worker holds does not grow with the table, and copies, zero vectors and repeated ids are as in plain numpy."""
+    seen, plain = [], spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda x: seen.append(x[1].nbytes) or plain(x))
+    r = np.random.default_rng(5)
+    v = np.concatenate([np.ones((200, 4)), r.integers(-2, 3, (200, 4))])
+    ids = [*range(395), *range(390, 395)]
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in zip(ids, v, strict=True)], VECTORS)
+    norm = np.linalg.norm(v, axis=1, keepdims=True)
+    sims = np.round((u := v / np.where(norm == 0, 1, norm)) @ u.T, 12)
+    sims[np.equal.outer(ids, ids)] = -np.inf
+    want = {i: (ids[(b := min(np.flatnonzero(s == s.max()), key=ids.__getitem__))], round(s[b], 9)) for i, s in zip(ids[:390], sims, strict=False)}
+    got = similarity.nearest(df, df, 1, exclude_self=True, broadcast_bytes=0, group_bytes=3200).collect()
+    assert {x.query_id: (x.match_id, round(x.sim, 9)) for x in got if x.query_id < 390} == want
+    assert len(seen) == 4 and max(seen) <= 2 * 3200
+
+
 def test_forests_of_any_size(spark):
     r = np.random.default_rng(5)
     df = spark.createDataFrame([(i, [float(x) for x in r.normal(size=3)]) for i in range(200)], VECTORS)
